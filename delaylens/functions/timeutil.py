@@ -48,17 +48,20 @@ def local_to_utc(ts: Column | str, tz: Column | str, ambiguous: str = "later") -
     utc = F.convert_timezone(tz, F.lit("UTC"), ts)
     if ambiguous == "earlier":
         return utc
-    later = utc + _interval("1 hour")
-    return F.when(F.convert_timezone(F.lit("UTC"), tz, later) == ts, later).otherwise(utc)
+    hour = _interval("1 hour")
+    twice = F.convert_timezone(F.lit("UTC"), tz, utc + hour) == ts
+    return utc + F.when(twice, hour).otherwise(_interval("0 hour"))
 
 
 def hhmm_to_local(date: Column | str, hhmm: Column | str) -> Column:
-    """Date (ISO text, date or timestamp) and ``HHMM`` to local time."""
-    day = F.substring(_col(date).cast("string"), 1, 10).try_cast("date")
-    hhmm = clamp_hhmm(hhmm)
-    return F.try_make_timestamp_ntz(
-        F.year(day), F.month(day), F.dayofmonth(day), hhmm_hour(hhmm), F.pmod(hhmm, F.lit(100)), F.lit(0)
-    )
+    """Date (ISO text, date or timestamp) and ``HHMM`` to local time; 2400 is 2359.
+
+    An impossible time such as 1275 gives null.
+    """
+    day = F.substring(_col(date).cast("string"), 1, 10).try_cast("timestamp_ntz")
+    t = clamp_hhmm(hhmm)
+    clock = F.make_dt_interval(F.lit(0), hhmm_hour(t), F.pmod(t, F.lit(100)))
+    return F.when(t.between(0, 2359) & (F.pmod(t, F.lit(100)) < 60), day + clock)
 
 
 def hhmm_to_utc(

@@ -9,70 +9,83 @@ from delaylens.operators.joins import lookup
 from delaylens.session import checkpointed
 
 
-def running_totals(df: DataFrame, order: list[Column | str], totals: dict[str, Column]) -> DataFrame:
-    """Add inclusive running sums of ``totals`` along ``order``.
+def running_totals(
+    df: DataFrame, order: list[Column | str], totals: dict[str, Column], by: str | None = None
+) -> DataFrame:
+    """Add inclusive running sums of ``totals`` along ``order``, restarting for each ``by``.
 
-    The rows are range-sorted and checkpointed once. Sums run inside each range
-    partition; only one row per partition is summed in a single task.
-    ``order`` should be unique, so that a hot value can be split.
+    ``<name>_total`` holds the sum over the whole group. The rows are range-sorted
+    and checkpointed once, sums run inside each range partition, and only one row
+    per partition and group takes part in the sums across partitions. ``order``
+    should be unique, so that a hot value can be split over partitions.
     """
     columns = df.columns
-    located = (
+    group = [by] if by else []
+    first = [F.col(by).asc_nulls_first()] if by else []
+    located = checkpointed(
         df.select(*columns, *[c.alias(f"_t_{n}") for n, c in totals.items()])
-        .orderBy(*order)
+        .orderBy(*first, *order)
         .withColumn("_pos", F.monotonically_increasing_id())
         .withColumn("_part", F.shiftright("_pos", 33))
     )
-    located = checkpointed(located)
-    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (
-        located.groupBy("_part")
-        .agg(*[F.sum(f"_t_{n}").alias(f"_p_{n}") for n in totals])
-        .select("_part", *[F.coalesce(F.sum(f"_p_{n}").over(before), F.lit(0)).alias(f"_o_{n}") for n in totals])
+    whole = Window.partitionBy(*group)
+    earlier = whole.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    parts = located.groupBy("_part", *group).agg(*[F.sum(f"_t_{n}").alias(f"_p_{n}") for n in totals])
+    offsets = parts.select(
+        "_part",
+        *group,
+        *[F.coalesce(F.sum(f"_p_{n}").over(earlier), F.lit(0)).alias(f"_o_{n}") for n in totals],
+        *[F.sum(f"_p_{n}").over(whole).alias(f"{n}_total") for n in totals],
     )
     inside = (
-        Window.partitionBy("_part").orderBy("_pos").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        Window.partitionBy("_part", *group)
+        .orderBy("_pos")
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    return located.join(F.broadcast(offsets), "_part").select(
-        *columns, *[(F.col(f"_o_{n}") + F.sum(f"_t_{n}").over(inside)).alias(n) for n in totals]
+    sums = located.select(
+        *columns, "_part", *[F.sum(f"_t_{n}").over(inside).alias(f"_s_{n}") for n in totals]
+    )
+    if by:
+        key = F.xxhash64("_part", by).alias("_key")
+        sums, offsets = sums.withColumn("_key", key), offsets.withColumn("_key", key).drop("_part", by)
+        joined = lookup(sums, offsets, ["_key"])
+    else:
+        joined = sums.join(F.broadcast(offsets), "_part")
+    return joined.select(
+        *columns,
+        *[(F.col(f"_o_{n}") + F.col(f"_s_{n}")).alias(n) for n in totals],
+        *[f"{n}_total" for n in totals],
     )
 
 
 def rank_by(df: DataFrame, order: list[Column | str], out: str = "rank") -> DataFrame:
     """Number the rows 1, 2, 3, ... along ``order``."""
-    return running_totals(df, order, {out: F.lit(1).cast("long")})
-
+    return running_totals(df, order, {out: F.lit(1).cast("long")}).drop(f"{out}_total")
 
-def quantiles(df: DataFrame, value: str, probs: list[float], by: str | None = None) -> DataFrame:
-    """Exact, linearly interpolated quantiles, one column ``q0, q1, ...`` per probability.
 
-    Equal values are counted first; the counted values are then located by a
-    distributed running total rather than gathered in one buffer.
-    """
-    by_col = F.col(by) if by else F.lit(0)
+def counted_values(df: DataFrame, value: str, by: str) -> DataFrame:
+    """Distinct valid values ``x`` per group, with their count ``n`` and running count ``upto``."""
     counted = (
-        df.select(by_col.alias("_by"), F.col(value).cast("double").alias("_v"))
-        .filter(F.col("_v").isNotNull() & ~F.isnan("_v"))
-        .groupBy("_by", "_v")
-        .agg(F.count("*").alias("_n"))
+        df.select(by, F.col(value).cast("double").alias("x"))
+        .filter(F.col("x").isNotNull() & ~F.isnan("x"))
+        .groupBy(by, "x")
+        .agg(F.count("*").alias("n"))
     )
-    placed = running_totals(counted, [F.col("_by").asc_nulls_first(), "_v"], {"_upto": F.col("_n")})
-    spans = placed.groupBy("_by").agg(
-        F.min(F.col("_upto") - F.col("_n")).alias("_start"), F.sum("_n").alias("_total")
-    )
-    spans = spans.select(F.xxhash64("_by").alias("_span"), "_start", "_total")
-    row = lookup(placed.withColumn("_span", F.xxhash64("_by")), spans, ["_span"])
-    first = F.col("_upto") - F.col("_n") - F.col("_start")
-    last = F.col("_upto") - F.col("_start") - 1
+    return running_totals(counted, ["x"], {"upto": F.col("n")}, by)
+
+
+def quantiles(counted: DataFrame, probs: list[float], by: str) -> DataFrame:
+    """Exact, linearly interpolated quantiles ``q0, q1, ...`` of :func:`counted_values`."""
+    first, last = F.col("upto") - F.col("n"), F.col("upto") - 1
     picks = []
     for i, p in enumerate(probs):
-        at = F.lit(p) * (F.col("_total") - 1)
+        at = F.lit(p) * (F.col("upto_total") - 1)
         for side, k in (("lo", F.floor(at)), ("hi", F.ceil(at))):
-            picks.append(F.max(F.when((first <= k) & (k <= last), F.col("_v"))).alias(f"_{side}{i}"))
+            picks.append(F.max(F.when((first <= k) & (k <= last), F.col("x"))).alias(f"_{side}{i}"))
         picks.append(F.max(at - F.floor(at)).alias(f"_w{i}"))
-    found = row.groupBy("_by").agg(F.max("_total").alias("n"), *picks)
+    found = counted.groupBy(by).agg(F.max("upto_total").alias("n"), *picks)
     values = [
         (F.col(f"_lo{i}") + (F.col(f"_hi{i}") - F.col(f"_lo{i}")) * F.col(f"_w{i}")).alias(f"q{i}")
         for i in range(len(probs))
     ]
-    return found.select(*([F.col("_by").alias(by)] if by else []), "n", *values)
+    return found.select(by, "n", *values)

@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 from delaylens.operators import ordered
 from delaylens.operators.joins import lookup
+from delaylens.session import checkpointed
 
 
 def _invalid(df: DataFrame, c: str) -> Column:
@@ -118,22 +119,24 @@ def histogram(df: DataFrame, c: str, bins: int, lo: float | None = None, hi: flo
 
 
 def box_stats(df: DataFrame, c: str, by: str | None = None) -> DataFrame:
-    """Exact quartiles, whisker ends within 1.5 IQR and the number of outliers."""
+    """Exact quartiles, whisker ends within 1.5 IQR and the number of outliers.
+
+    Everything follows from the counted distinct values, so ``df`` is read once.
+    """
     key = by or "_all"
-    rows = df.select((F.col(by) if by else F.lit(0)).alias(key), F.col(c).cast("double").alias("x"))
-    rows = rows.filter(F.col("x").isNotNull() & ~F.isnan("x"))
-    quarts = ordered.quantiles(rows, "x", [0.25, 0.5, 0.75], key).toDF(key, "n", "q1", "median", "q3")
+    counted = ordered.counted_values(df if by else df.withColumn(key, F.lit(0)), c, key)
+    quarts = ordered.quantiles(counted, [0.25, 0.5, 0.75], key).toDF(key, "total", "q1", "median", "q3")
     iqr = F.col("q3") - F.col("q1")
-    quarts = quarts.withColumns({"_low": F.col("q1") - 1.5 * iqr, "_high": F.col("q3") + 1.5 * iqr})
+    quarts = checkpointed(quarts.withColumns({"_low": F.col("q1") - 1.5 * iqr, "_high": F.col("q3") + 1.5 * iqr}))
     inside = F.col("x").between(F.col("_low"), F.col("_high"))
-    carried = ["n", "q1", "median", "q3"]
-    stats = lookup(rows, quarts, [key]).groupBy(key).agg(
-        *[F.max(k).alias(k) for k in carried],
+    stats = lookup(counted.select(key, "x", "n"), quarts, [key]).groupBy(key).agg(
+        F.max("total").alias("n"),
+        *[F.max(k).alias(k) for k in ("q1", "median", "q3")],
         F.min("x").alias("min"),
         F.max("x").alias("max"),
         F.min(F.when(inside, F.col("x"))).alias("whisker_low"),
         F.max(F.when(inside, F.col("x"))).alias("whisker_high"),
-        F.count_if(~inside).alias("outliers"),
+        F.sum(F.when(~inside, F.col("n")).otherwise(0)).alias("outliers"),
     )
     return stats if by else stats.drop(key)
 
@@ -145,11 +148,32 @@ def label_by_flag(df: DataFrame, flags: list[str], label: str) -> DataFrame:
 
 
 def correlation(df: DataFrame, cols: list[str]) -> DataFrame:
-    """Pearson correlations in long form; rows with an invalid value are skipped."""
+    """Pearson correlations in long form; rows with an invalid value are skipped.
+
+    One pass of plain sums. Values are taken relative to the mean of a few rows,
+    which does not change the result but keeps the sums of products accurate.
+    """
     valid = df.select(*[F.col(c).cast("double").alias(c) for c in cols]).na.drop()
+    few = valid.take(100)
+    shift = {c: sum(r[c] for r in few) / max(len(few), 1) for c in cols}
+    moved = valid.select(*[(F.col(c) - shift[c]).alias(f"v{i}") for i, c in enumerate(cols)])
     pairs = [(i, j) for i in range(len(cols)) for j in range(i, len(cols))]
-    once = valid.agg(*[F.corr(cols[i], cols[j]).alias(f"r_{i}_{j}") for i, j in pairs])
+    sums = moved.agg(
+        F.count("*").alias("n"),
+        *[F.sum(f"v{i}").alias(f"s{i}") for i in range(len(cols))],
+        *[F.sum(F.col(f"v{i}") * F.col(f"v{j}")).alias(f"s{i}_{j}") for i, j in pairs],
+    )
+
+    def spread(i: int, j: int) -> Column:
+        return F.col(f"s{i}_{j}") - F.col(f"s{i}") * F.col(f"s{j}") / F.col("n")
+
+    spreads = sums.select(*[spread(i, j).alias(f"c{i}_{j}") for i, j in pairs])
+    corr = [
+        F.when((F.col(f"c{i}_{i}") > 0) & (F.col(f"c{j}_{j}") > 0),
+               F.col(f"c{i}_{j}") / F.sqrt(F.col(f"c{i}_{i}")) / F.sqrt(F.col(f"c{j}_{j}"))).alias(f"r{i}_{j}")
+        for i, j in pairs
+    ]
     parts = ", ".join(
-        f"'{cols[i]}', '{cols[j]}', r_{min(i, j)}_{max(i, j)}" for i in range(len(cols)) for j in range(len(cols))
+        f"'{cols[i]}', '{cols[j]}', r{min(i, j)}_{max(i, j)}" for i in range(len(cols)) for j in range(len(cols))
     )
-    return once.selectExpr(f"stack({len(cols) ** 2}, {parts}) as (col_a, col_b, corr)")
+    return spreads.select(*corr).selectExpr(f"stack({len(cols) ** 2}, {parts}) as (col_a, col_b, corr)")

@@ -32,7 +32,7 @@ from delaylens.operators import (
 )
 from delaylens.plans import standin
 from delaylens.plans.standin import FIRST_YEAR, LAST_YEAR, ROW_KEYS, flights, readings, table
-from delaylens.session import checkpointed, scratch_path
+from delaylens.session import scratch_path
 from delaylens.sources import io, schemas
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -202,7 +202,8 @@ SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, o.tz AS tz,
 FROM flights LEFT JOIN zones o ON airport_iata = o.site LEFT JOIN zones d ON dest_iata = d.site""")
 def hhmm_to_utc(spark, base):
     zones = standin.zones(spark, base)
-    df = timeutil.attach_tz(flights(spark, base), "airport_iata", zones, "left", zone_key="site")
+    df = io.spread(flights(spark, base))
+    df = timeutil.attach_tz(df, "airport_iata", zones, "left", zone_key="site")
     df = timeutil.attach_tz(df, "dest_iata", zones, "left", zone_key="site", out="dest_tz")
 
     def utc(hhmm, tz, name):
@@ -876,7 +877,8 @@ def model_tables(spark: SparkSession, base: str) -> tuple[DataFrame, DataFrame]:
     df = features.seasons(df, "month")
     df = features.day_parts(df.withColumn("hour", timeutil.hhmm_hour(timeutil.clamp_hhmm("target_dep_time"))), "hour")
     wanted = [*_CATEGORICAL, *schemas.DAY_PARTS, *_NUMERIC]
-    df = checkpointed(df.select(*ROW_KEYS, "year", *wanted, "delay_label"))
+    df = io.spread(df.select(*ROW_KEYS, "year", *wanted, "delay_label"))
+    df = io.stage(df, scratch_path(spark, "model-table"))
     train, test = split.holdout(df, "year", LAST_YEAR)
     train = sampling.undersample(train, "delay_label", 0, 1.0, ROW_KEYS)
     return tuple(features.zscore(train, [train, test], _NUMERIC))

@@ -12,6 +12,15 @@ def read_table(spark: SparkSession, base: str, name: str, suffix: str = "") -> D
     return spark.read.parquet(f"{base.rstrip('/')}/{name}{suffix}")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Use every core when the files give fewer splits than there are cores.
+
+    Large tables already have more splits than cores and are left alone.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def read_delimited(
     spark: SparkSession,
     path: str,
