@@ -2,14 +2,31 @@
 
 from __future__ import annotations
 
-from pyspark.ml import Estimator, Pipeline, Transformer
+from pyspark import StorageLevel
+from pyspark.ml import Estimator, Pipeline, PipelineModel, Transformer
 from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import PCA, Imputer, OneHotEncoder, StringIndexer, VectorAssembler, VectorIndexer
 from pyspark.ml.regression import GBTRegressor
+from pyspark.sql import DataFrame
 
 PipelineStage = Estimator | Transformer
 
 
+def fit_cached(stages: list[PipelineStage], estimator: Estimator, train: DataFrame) -> PipelineModel:
+    """Fit the feature stages, then the estimator on their persisted output.
+
+    Tree and iterative estimators read their input many times; this way the
+    feature stages run once.
+    """
+    prepared = Pipeline(stages=stages).fit(train)
+    columns = [estimator.getFeaturesCol(), estimator.getLabelCol()]
+    vectors = prepared.transform(train).select(*columns).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return PipelineModel(stages=[*prepared.stages, estimator.fit(vectors)])
+    finally:
+        vectors.unpersist()
+
+
 def matrix_stages(categoricals: list[str], numerics: list[str], out: str = "features") -> list[PipelineStage]:
     """Index, one-hot encode, impute and assemble.
 

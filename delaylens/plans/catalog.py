@@ -923,7 +923,7 @@ def pca_lr_predictions(spark, base):
 def rf_predictions(spark, base):
     train, test = model_tables(spark, base)
     stages = models.with_pca(models.matrix_stages(_CATEGORICAL, _scaled(_NUMERIC)))
-    fitted = Pipeline(stages=[*stages, models.random_forest(numTrees=20)]).fit(train)
+    fitted = models.fit_cached(stages, models.random_forest(numTrees=20), train)
     return fitted.transform(test).select(*_SHOWN)
 
 
