@@ -48,7 +48,7 @@ def curate_weather(weather: DataFrame, stations: DataFrame, airports: DataFrame,
 def flight_times(flights: DataFrame, compat_utc: bool = False) -> DataFrame:
     """Add the six UTC times from local ``HHMM`` and the zones ``tz`` and ``dest_tz``.
 
-    Arrivals use the destination's zone and the next day when they would precede
+    Arrivals use the destination's zone and a later day when they would precede
     the departure before them. ``compat_utc`` uses the origin's zone and date
     throughout and takes 0 for missing.
     """
@@ -59,11 +59,13 @@ def flight_times(flights: DataFrame, compat_utc: bool = False) -> DataFrame:
     df = flights.withColumns(
         {utc: timeutil.hhmm_to_utc("fl_date", t, "dest_tz" if dest else "tz") for t, utc, dest in FLIGHT_TIMES}
     )
-    day = F.expr("INTERVAL 1 DAY")
 
     def after(c: str, earlier: str) -> Column:
-        return F.when(F.col(c) < F.col(earlier), F.col(c) + day).otherwise(F.col(c))
+        """Add whole days until ``c`` is no longer before ``earlier``."""
+        days = F.extract(F.lit("DAY"), F.col(earlier) - F.col(c)) + 1
+        return F.when(F.col(c) < F.col(earlier), F.col(c) + F.make_dt_interval(days)).otherwise(F.col(c))
 
+    day = F.expr("INTERVAL 1 DAY")
     half_day = F.expr("INTERVAL 12 HOURS")
     target, actual = F.col("target_dep_utc_timestamp"), F.col("actual_dep_utc_timestamp")
     df = df.withColumn(
