@@ -901,8 +901,8 @@ def pca_scores(spark, base):
 @query()
 def pca_embeddings(spark, base):
     df = table(spark, base, "embeddings")
-    cols = [f"e{i}" for i in range(8)]
-    wide = df.select("vec_id", *[F.col("embedding")[i].cast("double").alias(c) for i, c in enumerate(cols)])
+    cols = [f"e{i}" for i in range(64)]
+    wide = df.select("vec_id", *[F.get("embedding", F.lit(i)).cast("double").alias(c) for i, c in enumerate(cols)])
     scores, _ = features.pca(wide, cols, k=5)
     return scores.select("vec_id", vector_to_array("pca_features").alias("pca_features"))
 
