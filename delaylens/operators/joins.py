@@ -9,11 +9,13 @@ from pyspark.sql import functions as F
 
 BROADCAST_ROWS = 200_000
 SMALLEST_HOT_SHARE = 0.0005
+SKETCHES = 64
+SKETCH_ITEMS = 1024
 
 
 def fits(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
-    """Whether ``df`` has at most ``max_rows`` rows; reads no more than it must."""
-    return df.limit(max_rows + 1).count() <= max_rows
+    """Whether ``df`` has at most ``max_rows`` rows: a distributed count, no rows move."""
+    return df.count() <= max_rows
 
 
 def lookup(
@@ -32,18 +34,17 @@ def lookup(
 def hot_keys(df: DataFrame, on: list[str], partitions: int | None = None) -> dict[int, float]:
     """Hash and share of each key that would overfill one of ``partitions``.
 
-    One pass with a fixed-size sketch per task; at most about ``1 / share``
-    numbers reach the driver. The sketch may overcount, which only salts more.
+    One pass with sketches of fixed size, merged in ``SKETCHES`` parallel groups;
+    at most about ``1 / share`` numbers reach the driver. A sketch may overcount,
+    which only salts more.
     """
     share = max(1 / (partitions or cluster_width(df)), SMALLEST_HOT_SHARE)
-    most = int(1 / share) + 1
-    sketch = F.expr(f"approx_top_k(key, {most}, {most * 20})")
-    found = df.select(F.xxhash64(*on).alias("key")).agg(F.count("*").alias("n"), sketch.alias("top")).first()
-    return {
-        item["item"]: item["count"] / found["n"]
-        for item in found["top"] or []
-        if item["count"] >= share * found["n"]
-    }
+    most = min(int(1 / share) + 1, SKETCH_ITEMS)
+    sketch = F.expr(f"approx_top_k(key, {most}, {SKETCH_ITEMS})").alias("top")
+    keys = df.select(F.xxhash64(*on).alias("key"))
+    found = keys.groupBy(F.pmod("key", F.lit(SKETCHES))).agg(F.count("*").alias("n"), sketch).collect()
+    n = sum(g["n"] for g in found)
+    return {i["item"]: i["count"] / n for g in found for i in g["top"] if i["count"] >= share * n}
 
 
 def cluster_width(df: DataFrame) -> int:

@@ -17,12 +17,14 @@ def lag_hour_join(
     how: str = "inner",
     hour: str = "weather_ymdh",
     out: str | None = "target_dep_ymdh_n2",
+    hot: dict[int, float] | None = None,
 ) -> DataFrame:
     """Facts with the roll-up row of the same site and the hour of ``ts - lag``.
 
     An equality on a derived hour key, so Spark can shuffle both sides by
-    (site, hour); hours with a large share of the facts are salted.
+    (site, hour); hours with a large share of the facts are salted. They are
+    found in a pass over the key columns, which ``hot={}`` leaves out.
     """
     keyed = facts.withColumn(hour, hour_key_floor(ts, lag))
-    joined = skew_join(keyed, rollup, [*keys, hour], how)
+    joined = skew_join(keyed, rollup, [*keys, hour], how, hot=hot)
     return joined.withColumnRenamed(hour, out) if out else joined.drop(hour)

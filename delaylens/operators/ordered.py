@@ -9,28 +9,28 @@ from delaylens.operators.joins import lookup
 from delaylens.session import checkpointed
 
 
-def running_totals(
-    df: DataFrame, order: list[Column | str], totals: dict[str, Column], by: str | None = None
-) -> DataFrame:
-    """Add inclusive running sums of ``totals`` along ``order``, restarting for each ``by``.
+def place(df: DataFrame, order: list[Column | str], by: str | None = None) -> DataFrame:
+    """Range-sort the rows by ``by`` and ``order`` and checkpoint them with their place.
 
-    ``<name>_total`` holds the sum over the whole group. The rows are range-sorted
-    and checkpointed once, sums run inside each range partition, and only one row
-    per partition and group takes part in the sums across partitions. ``order``
-    should be unique, so that a hot value can be split over partitions.
+    ``order`` should be unique, so that a hot value can be split over partitions.
     """
-    columns = df.columns
+    group = [F.col(by).asc_nulls_first()] if by else []
+    located = df.orderBy(*group, *order).withColumn("_pos", F.monotonically_increasing_id())
+    return checkpointed(located.withColumn("_part", F.shiftright("_pos", 33)))
+
+
+def running_totals(placed: DataFrame, totals: dict[str, Column], by: str | None = None) -> DataFrame:
+    """Inclusive running sums of ``totals`` over :func:`place`-d rows, restarting for each ``by``.
+
+    ``<name>_total`` holds the sum over the whole group. Sums run inside each
+    range partition; only one row per partition and group takes part in the
+    sums across partitions.
+    """
+    columns = [c for c in placed.columns if c not in ("_pos", "_part")]
     group = [by] if by else []
-    first = [F.col(by).asc_nulls_first()] if by else []
-    located = checkpointed(
-        df.select(*columns, *[c.alias(f"_t_{n}") for n, c in totals.items()])
-        .orderBy(*first, *order)
-        .withColumn("_pos", F.monotonically_increasing_id())
-        .withColumn("_part", F.shiftright("_pos", 33))
-    )
     whole = Window.partitionBy(*group)
     earlier = whole.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    parts = located.groupBy("_part", *group).agg(*[F.sum(f"_t_{n}").alias(f"_p_{n}") for n in totals])
+    parts = placed.groupBy("_part", *group).agg(*[F.sum(c).alias(f"_p_{n}") for n, c in totals.items()])
     offsets = parts.select(
         "_part",
         *group,
@@ -42,13 +42,11 @@ def running_totals(
         .orderBy("_pos")
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    sums = located.select(
-        *columns, "_part", *[F.sum(f"_t_{n}").over(inside).alias(f"_s_{n}") for n in totals]
-    )
+    sums = placed.select(*columns, "_part", *[F.sum(c).over(inside).alias(f"_s_{n}") for n, c in totals.items()])
     if by:
-        key = F.xxhash64("_part", by).alias("_key")
-        sums, offsets = sums.withColumn("_key", key), offsets.withColumn("_key", key).drop("_part", by)
-        joined = lookup(sums, offsets, ["_key"])
+        key = F.xxhash64("_part", by)
+        offsets = offsets.withColumn("_key", key).drop("_part", by)
+        joined = lookup(sums.withColumn("_key", key), offsets, ["_key"])
     else:
         joined = sums.join(F.broadcast(offsets), "_part")
     return joined.select(
@@ -60,22 +58,23 @@ def running_totals(
 
 def rank_by(df: DataFrame, order: list[Column | str], out: str = "rank") -> DataFrame:
     """Number the rows 1, 2, 3, ... along ``order``."""
-    return running_totals(df, order, {out: F.lit(1).cast("long")}).drop(f"{out}_total")
+    return running_totals(place(df, order), {out: F.lit(1).cast("long")}).drop(f"{out}_total")
 
 
 def counted_values(df: DataFrame, value: str, by: str) -> DataFrame:
-    """Distinct valid values ``x`` per group, with their count ``n`` and running count ``upto``."""
+    """Distinct valid values ``x`` per group with their count ``n``, in order of place."""
     counted = (
         df.select(by, F.col(value).cast("double").alias("x"))
         .filter(F.col("x").isNotNull() & ~F.isnan("x"))
         .groupBy(by, "x")
         .agg(F.count("*").alias("n"))
     )
-    return running_totals(counted, ["x"], {"upto": F.col("n")}, by)
+    return place(counted, ["x"], by)
 
 
 def quantiles(counted: DataFrame, probs: list[float], by: str) -> DataFrame:
     """Exact, linearly interpolated quantiles ``q0, q1, ...`` of :func:`counted_values`."""
+    counted = running_totals(counted, {"upto": F.col("n")}, by)
     first, last = F.col("upto") - F.col("n"), F.col("upto") - 1
     picks = []
     for i, p in enumerate(probs):

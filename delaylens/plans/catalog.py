@@ -97,12 +97,12 @@ def _hash_sql(keys: list[str], seed: int) -> str:
     return f"(('0x' || substr(md5({text}), 1, 8))::BIGINT / 4294967296.0)"
 
 
-def labelled(spark: SparkSession, base: str) -> DataFrame:
-    return features.delay_label(flights(spark, base), "actual_dep_time", "dep_delay")
+def labelled(spark: SparkSession, base: str, even: bool = False) -> DataFrame:
+    return features.delay_label(flights(spark, base, even), "actual_dep_time", "dep_delay")
 
 
-def dated(spark: SparkSession, base: str) -> DataFrame:
-    return labelled(spark, base).withColumn("year", features.year_of("fl_date"))
+def dated(spark: SparkSession, base: str, even: bool = False) -> DataFrame:
+    return labelled(spark, base, even).withColumn("year", features.year_of("fl_date"))
 
 
 # ---------------------------------------------------------------- roll-up and joins
@@ -202,7 +202,7 @@ SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, o.tz AS tz,
 FROM flights LEFT JOIN zones o ON airport_iata = o.site LEFT JOIN zones d ON dest_iata = d.site""")
 def hhmm_to_utc(spark, base):
     zones = standin.zones(spark, base)
-    df = io.spread(flights(spark, base))
+    df = flights(spark, base, even=True)
     df = timeutil.attach_tz(df, "airport_iata", zones, "left", zone_key="site")
     df = timeutil.attach_tz(df, "dest_iata", zones, "left", zone_key="site", out="dest_tz")
 
@@ -873,12 +873,11 @@ _PLAIN = ["is_holiday", *schemas.SEASONS, *schemas.DAY_PARTS, *[c + "_scaled" fo
 
 def model_tables(spark: SparkSession, base: str) -> tuple[DataFrame, DataFrame]:
     """Scaled training years and the held-out year, materialised once."""
-    df = features.holiday_flag(dated(spark, base), "fl_date", standin.holidays(spark))
+    df = features.holiday_flag(dated(spark, base, even=True), "fl_date", standin.holidays(spark))
     df = features.seasons(df, "month")
     df = features.day_parts(df.withColumn("hour", timeutil.hhmm_hour(timeutil.clamp_hhmm("target_dep_time"))), "hour")
     wanted = [*_CATEGORICAL, *schemas.DAY_PARTS, *_NUMERIC]
-    df = io.spread(df.select(*ROW_KEYS, "year", *wanted, "delay_label"))
-    df = io.stage(df, scratch_path(spark, "model-table"))
+    df = io.stage(df.select(*ROW_KEYS, "year", *wanted, "delay_label"), scratch_path(spark, "model-table"))
     train, test = split.holdout(df, "year", LAST_YEAR)
     train = sampling.undersample(train, "delay_label", 0, 1.0, ROW_KEYS)
     return tuple(features.zscore(train, [train, test], _NUMERIC))

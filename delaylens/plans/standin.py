@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from delaylens.operators import features
-from delaylens.sources.io import read_table
+from delaylens.sources.io import read_table, spread
 
 FIRST_YEAR, LAST_YEAR = 1995, 2001
 ROW_KEYS = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate"]
@@ -57,9 +57,14 @@ def readings(spark: SparkSession, base: str) -> DataFrame:
     )
 
 
-def flights(spark: SparkSession, base: str) -> DataFrame:
-    """One row per order line, with the columns of a flight record."""
+def flights(spark: SparkSession, base: str, even: bool = False) -> DataFrame:
+    """One row per order line, with the columns of a flight record.
+
+    ``even`` spreads a small file over all cores, for work that is heavy per row.
+    """
     lines = table(spark, base, "lineitem")
+    if even:
+        lines = spread(lines)
     orders = table(spark, base, "orders")
     origin = table(spark, base, "customer").select(
         F.col("c_custkey").alias("o_custkey"), F.col("c_nationkey").alias("airport_iata")
