@@ -420,9 +420,15 @@ def profile_shape(spark, base):
 _MEASURES = ["dep_delay", "l_quantity", "l_extendedprice", "l_discount", "l_tax", "o_totalprice"]
 
 
-@query(f"WITH {_FLIGHTS} " + " UNION ALL ".join(
-    f"""SELECT '{c}' AS "column", count({c}) AS count, round(avg({c}), 8) AS mean, round(stddev_samp({c}), 8) AS stddev,
-       CAST(min({c}) AS DOUBLE) AS min, CAST(max({c}) AS DOUBLE) AS max FROM flights""" for c in [*_MEASURES, "actual_dep_time"]))
+def _describe_sql(cols: list[str]) -> str:
+    return f"WITH {_FLIGHTS} " + " UNION ALL ".join(
+        f"""SELECT '{c}' AS "column", count({c}) AS count, round(avg({c}), 8) AS mean,
+       round(stddev_samp({c}), 8) AS stddev, CAST(min({c}) AS DOUBLE) AS min, CAST(max({c}) AS DOUBLE) AS max FROM flights"""
+        for c in cols
+    )
+
+
+@query(_describe_sql([*_MEASURES, "actual_dep_time"]))
 def profile_describe(spark, base):
     df = profile.describe(flights(spark, base), [*_MEASURES, "actual_dep_time"])
     return df.withColumns({"mean": F.round("mean", 8), "stddev": F.round("stddev", 8)})
@@ -547,11 +553,11 @@ def correlation_long(spark, base):
     return profile.correlation(labelled(spark, base), [*_MEASURES, "delay_label"]).withColumn("corr", F.round("corr", 6))
 
 
-@query()
+@query(_describe_sql(_MEASURES))
 def drop_correlated(spark, base):
     df = flights(spark, base).withColumn("price_again", F.col("l_extendedprice") * 2 + 1)
     kept = features.drop_correlated(df, [*_MEASURES, "price_again"])
-    return profile.describe(df, kept)
+    return profile.describe(df, kept).withColumns({"mean": F.round("mean", 8), "stddev": F.round("stddev", 8)})
 
 
 # ---------------------------------------------------------------- graph
@@ -774,6 +780,19 @@ def vector_index(spark, base):
     )
 
 
+@query(f"""WITH {_FLIGHTS}
+SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, 3 AS width,
+       actual_dep_time + l_quantity + round(l_tax * 100) AS total
+FROM flights WHERE actual_dep_time IS NOT NULL""")
+def assemble_vector(spark, base):
+    df = flights(spark, base).withColumn("tax", F.round(F.col("l_tax") * 100))
+    inputs = ["actual_dep_time", "l_quantity", "tax"]
+    vectors = VectorAssembler(inputCols=inputs, outputCol="v", handleInvalid="skip").transform(df)
+    cells = vectors.select(*ROW_KEYS[:4], vector_to_array("v").alias("cells"))
+    total = F.aggregate("cells", F.lit(0.0), lambda a, b: a + b).alias("total")
+    return cells.select(*ROW_KEYS[:4], F.size("cells").alias("width"), total)
+
+
 # ---------------------------------------------------------------- evaluation
 
 _SCORED = f"""{_FLIGHTS}, scored AS (

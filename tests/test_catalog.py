@@ -45,7 +45,7 @@ def test_against_sql(spark, tables, name):
     assert got == want
 
 
-@pytest.mark.parametrize("name", ["drop_correlated", "pca_scores", "gbt_predictions", "saved_model_predictions"])
+@pytest.mark.parametrize("name", ["pca_scores", "gbt_predictions", "saved_model_predictions"])
 def test_rows_only(spark, name):
     assert QUERIES[name](spark, BASE).count() > 0
 
