@@ -379,11 +379,11 @@ def project_rename(spark, base):
 # ---------------------------------------------------------------- sources and sinks
 
 
-@query("SELECT CAST(n_nationkey AS VARCHAR) AS call, n_name AS iata, n_regionkey AS alt FROM nation")
+@query("SELECT CAST(c_custkey AS VARCHAR) AS call, c_name AS iata, c_nationkey AS alt, c_acctbal AS lat FROM customer")
 def delimited_schema(spark, base):
-    path = scratch_path(spark, "nation-text")
-    table(spark, base, "nation").write.option("sep", ":").csv(path)
-    return io.read_delimited(spark, path, "call string, iata string, alt int", sep=":")
+    path = scratch_path(spark, "customer-text")
+    table(spark, base, "customer").select("c_custkey", "c_name", "c_nationkey", "c_acctbal").write.option("sep", ":").csv(path)
+    return io.read_delimited(spark, path, "call string, iata string, alt int, lat double", sep=":")
 
 
 @query("SELECT strftime(o_orderdate, '%Y-%m-%d') AS Date, CAST(count(*) AS VARCHAR) AS Year FROM orders GROUP BY 1")

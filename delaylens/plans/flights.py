@@ -20,11 +20,15 @@ FLIGHT_TIMES = [
 ]
 
 
-def curate_weather(weather: DataFrame, stations: DataFrame, airports: DataFrame, zones: DataFrame) -> DataFrame:
+def curate_weather(
+    weather: DataFrame, stations: DataFrame, airports: DataFrame, zones: DataFrame, carry: list[str] | None = None
+) -> DataFrame:
     """Raw readings to one row per airport and UTC hour.
 
     Duplicates go before the joins add columns; readings of stations or airports
-    that are not known are dropped.
+    that are not known are dropped. ``carry`` names the other columns to keep from
+    the earliest reading, by default all. Without any, Spark can aggregate by
+    hash instead of sorting.
     """
     readings = clean.dedup(clean.project(weather, ["STATION", *schemas.WEATHER_NAMES]))
     sites = clean.dedup(bridge.station_airport(stations, airports))
@@ -36,6 +40,8 @@ def curate_weather(weather: DataFrame, stations: DataFrame, airports: DataFrame,
     utc = timeutil.local_to_utc(timeutil.parse_local("local_datetime"), "tz")
     readings = clean.require(readings.withColumn("weather_utc_timestamp", utc), ["weather_utc_timestamp"]).drop("tz")
     carried = [c for c in readings.columns if c not in schemas.WEATHER_AGGREGATES and c != "airport_iata"]
+    if carry is not None:
+        carried = [c for c in carried if c in carry]
     return rollup.hourly_rollup(
         readings,
         "weather_utc_timestamp",

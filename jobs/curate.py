@@ -20,6 +20,7 @@ def main(argv: list[str] | None = None) -> None:
     p.add_argument("--airports", required=True, help="path of the ':'-separated airport file")
     p.add_argument("--zones", required=True, help="path of a CSV file with columns iata and tz")
     p.add_argument("--compat", action="store_true", help="origin-zone arrival times and literal night hours")
+    p.add_argument("--lean", action="store_true", help="keep only the numeric weather columns")
     a = p.parse_args(argv)
 
     spark = get_session("delaylens-curate")
@@ -27,7 +28,7 @@ def main(argv: list[str] | None = None) -> None:
     zones = io.read_delimited(spark, a.zones, header=True).select("iata", "tz")
     weather = io.read_table(spark, a.base, a.weather)
     stations = io.read_table(spark, a.base, a.stations)
-    hourly = flow.curate_weather(weather, stations, airports, zones)
+    hourly = flow.curate_weather(weather, stations, airports, zones, [] if a.lean else None)
     io.stage(hourly, f"{a.out}/station_weather{a.suffix}")
     raw = io.read_table(spark, a.base, a.flights, a.suffix)
     io.stage(flow.curate_flights(raw, zones, a.compat), f"{a.out}/flights{a.suffix}", ["year"])

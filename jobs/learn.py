@@ -84,6 +84,8 @@ def main(argv: list[str] | None = None) -> None:
         score = F.col("prediction") if name == "BoostedTrees" else vector_to_array("probability")[1]
         kept = scored.select(*flow.SAMPLE_KEYS, "delay_label", score.alias("score"), "prediction", "pred_adjust")
         kept = io.save_split(kept, f"{a.out}/predictions_{name}{a.suffix}")
+        roc = evaluate.roc(kept, "delay_label", "score")
+        io.save_split(roc, f"{a.out}/roc_{name}{a.suffix}")
         metrics = {
             **evaluate.weighted(kept, "delay_label", "pred_adjust").first().asDict(),
             **evaluate.auc(kept, "delay_label", "score").first().asDict(),

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from delaylens import clean, io, schemas
 from delaylens.plans import flights as flow
-from jobs import curate, join, learn
+from jobs import curate, join, learn, profile
 
 SITES = {"AAA": "America/New_York", "BBB": "America/Chicago", "CCC": "America/Los_Angeles", "DDD": "Asia/Kolkata"}
 
@@ -67,6 +67,9 @@ def test_curate_weather(spark, dims, any_zone):
     )
     got = flow.curate_weather(weather, *dims).orderBy("weather_ymdh").collect()
     assert [(r["weather_ymdh"], r["airport_iata"]) for r in got] == [("2021070112", "AAA"), ("2021070113", "AAA")]
+    lean = flow.curate_weather(weather, *dims, carry=[])
+    assert lean.columns == ["weather_ymdh", "airport_iata", *schemas.WEATHER_AGGREGATES]
+    assert "SortAggregate" not in lean._jdf.queryExecution().executedPlan().toString()
     first = got[0]
     assert first["hourly_dry_bulb_temperature"] == 65.0
     assert first["hourly_sky_conditions"] == "OVC" and first["station_id"] == "sAAA"
@@ -141,6 +144,13 @@ def test_jobs_end_to_end(spark, dims, tmp_path, capsys, monkeypatch):
     assert table.agg(F.sum("dep_rank")).first()[0] > 0
     assert {r[0] for r in table.select("is_holiday").distinct().collect()} == {0, 1}
 
+    profile.main(["--base", base, "--out", f"{out}/raw"])
+    assert io.read_table(spark, out, "raw/shape_flights").first()["rows"] == n
+    assert io.read_table(spark, out, "raw/delay_by_weekday").count() == 7
+    profile.main(["--base", out, "--out", f"{out}/eda", "--of", "features"])
+    assert io.read_table(spark, out, "eda/correlation").count() == 18 * 18
+    assert io.read_table(spark, out, "eda/most_delayed_airports").count() == 3
+
     full_plan = learn.plan
     monkeypatch.setattr(learn, "plan", lambda name: (lambda s, e, g, v: (s, e, g[:1] if name == "BoostedTrees" else g[:2], v))(*full_plan(name)))
     learn.main(["--base", out, "--out", models, "--model", "LogisticRegression", "--sample", "1.0"])
@@ -148,6 +158,8 @@ def test_jobs_end_to_end(spark, dims, tmp_path, capsys, monkeypatch):
     assert got["model"] == "LogisticRegression" and 0.5 < got["auc"] <= 1.0 and got["recall"] == got["accuracy"]
     predictions = io.read_table(spark, models, "predictions_LogisticRegression")
     assert predictions.count() == table.filter("year = 2021").count()
+    roc = io.read_table(spark, models, "roc_LogisticRegression")
+    assert roc.agg(F.max("area")).first()[0] == pytest.approx(got["auc"], abs=0.02)
     learn.main(["--base", out, "--out", models, "--model", "BoostedTrees", "--dataset", "scaled", "--sample", "0.8"])
     assert json.loads(capsys.readouterr().out.strip().splitlines()[-1])["rmse"] < 1
     assert len(full_plan("RandomForest")[2]) == 16 and len(full_plan("LogisticRegression")[2]) == 48
