@@ -2,10 +2,19 @@
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from delaylens.operators.joins import BROADCAST_ROWS, hot_keys, lookup, skew_join
+from delaylens.operators.joins import (
+    BROADCAST_ROWS,
+    cluster_width,
+    copied,
+    hot_keys,
+    lookup,
+    pieces_of,
+    salted,
+)
 from delaylens.session import checkpointed
 
 
@@ -34,6 +43,8 @@ def page_rank(
     Each round is one join on the origin and one map-side combined sum on the
     destination. A weight-0 link from every site to itself keeps sites that
     receive nothing, so scores appear once per round and plans grow linearly.
+    Scores too many to broadcast meet links that were partitioned once by origin,
+    hubs cut into pieces, so that only scores move.
     """
     if dangling not in ("spread", "drop"):
         raise ValueError("dangling is 'spread' or 'drop'")
@@ -61,10 +72,15 @@ def page_rank(
         scores = nodes.select(F.col("node").alias("src"), (F.col("sends") / max(senders, 1)).alias("score"))
     leaks = dangling == "spread" and senders < n
     few = n <= BROADCAST_ROWS
-    hubs = {} if few else hot_keys(links, ["src"])
+    if not few:
+        width = cluster_width(links)
+        pieces = pieces_of(["src"], hot_keys(links, ["src"], width), width)
+        links = salted(links, pieces).repartition(width, "src", "_salt").persist(StorageLevel.MEMORY_AND_DISK)
 
     def with_scores(scores: DataFrame) -> DataFrame:
-        return links.join(F.broadcast(scores), "src") if few else skew_join(links, scores, ["src"], hot=hubs)
+        if few:
+            return links.join(F.broadcast(scores), "src")
+        return links.join(copied(scores, pieces), ["src", "_salt"])
 
     for i in range(1, max_iter + 1):
         inflow = (
@@ -80,5 +96,8 @@ def page_rank(
             inflow = checkpointed(inflow)
         new = F.lit(alpha / max(n, 1)) + (1 - alpha) * (F.col("inflow") + lost / max(n, 1))
         scores = inflow.select(F.col("dst").alias("src"), new.alias("score"))
+    if not few:
+        scores = checkpointed(scores)
+        links.unpersist()
     return scores.toDF(*names)
 

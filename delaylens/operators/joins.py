@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 BROADCAST_ROWS = 200_000
@@ -75,15 +75,26 @@ def skew_join(
         hot = hot_keys(facts, on, partitions)
     if not hot:
         return facts.join(dim, on, how)
+    pieces = pieces_of(on, hot, partitions)
+    return salted(facts, pieces).join(copied(dim, pieces), [*on, "_salt"], how).drop("_salt")
 
+
+def pieces_of(on: list[str], hot: dict[int, float], partitions: int) -> Column:
+    """Into how many pieces a row's key is cut: a power of two, 1 unless it is hot."""
     by_pieces: dict[int, list[int]] = {}
     for key, share in hot.items():
-        pieces = 2 ** math.ceil(math.log2(max(share * partitions, 2)))
-        by_pieces.setdefault(pieces, []).append(key)
+        by_pieces.setdefault(2 ** math.ceil(math.log2(max(share * partitions, 2))), []).append(key)
     pieces = F.lit(1)
     for n, keys in by_pieces.items():
         pieces = F.when(F.xxhash64(*on).isin(keys), F.lit(n)).otherwise(pieces)
+    return pieces
+
+
+def salted(facts: DataFrame, pieces: Column) -> DataFrame:
+    """Assign each row to one of its key's pieces by a hash of the whole row."""
+    return facts.withColumn("_salt", F.pmod(F.xxhash64(*facts.columns), pieces).cast("int"))
+
 
-    left = facts.withColumn("_salt", F.pmod(F.xxhash64(*facts.columns), pieces).cast("int"))
-    right = dim.withColumn("_salt", F.explode(F.sequence(F.lit(0), pieces - 1)))
-    return left.join(right, [*on, "_salt"], how).drop("_salt")
+def copied(dim: DataFrame, pieces: Column) -> DataFrame:
+    """Repeat each row once for every piece of its key."""
+    return dim.withColumn("_salt", F.explode(F.sequence(F.lit(0), pieces - 1)))

@@ -33,11 +33,14 @@ def test_page_rank(spark, edges, alpha, dangling):
         assert sum(got.values()) == pytest.approx(1.0)
 
 
-def test_page_rank_without_broadcast(spark, monkeypatch):
+@pytest.mark.parametrize("dangling", ["spread", "drop"])
+def test_page_rank_without_broadcast(spark, monkeypatch, dangling):
     monkeypatch.setattr(graph, "BROADCAST_ROWS", 0)
-    df = spark.createDataFrame(EDGES, "src string, dst string, w long")
-    got = {r["dep_iata"]: r["dep_rank"] for r in graph.page_rank(df, max_iter=6).collect()}
-    assert got == pytest.approx(brute_page_rank(EDGES, 0.15, 6, True), abs=1e-12)
+    hub = [("hub", f"n{i}", 1 + i % 3) for i in range(40)] + [(f"n{i}", "hub", 1) for i in range(0, 40, 2)]
+    edges = EDGES + hub + [("a", "hub", 1)]
+    df = spark.createDataFrame(edges, "src string, dst string, w long")
+    got = {r["dep_iata"]: r["dep_rank"] for r in graph.page_rank(df, max_iter=6, dangling=dangling).collect()}
+    assert got == pytest.approx(brute_page_rank(edges, 0.15, 6, dangling == "spread"), abs=1e-12)
 
 
 def test_edge_weights(spark):
