@@ -75,7 +75,8 @@ def page_rank(
     if not few:
         width = cluster_width(links)
         pieces = pieces_of(["src"], hot_keys(links, ["src"], width), width)
-        links = salted(links, pieces).repartition(width, "src", "_salt").persist(StorageLevel.MEMORY_AND_DISK)
+        links = salted(links, pieces).repartition(width, "src", "_salt").sortWithinPartitions("src", "_salt")
+        links = links.persist(StorageLevel.MEMORY_AND_DISK)
 
     def with_scores(scores: DataFrame) -> DataFrame:
         if few:
