@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from delaylens.llm import exact, langid, mixing, packing, sharding, warc
+from delaylens.llm import exact, jaccard, langid, mixing, packing, sharding, warc
 from delaylens.llm.common import fold_of, new_folder, table
 
 SHARDS = 16
@@ -98,6 +98,11 @@ def op6_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("row.doc_id", "row.held_out", "lang_pred", "score")
 
 
+def op7_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near duplicates among all documents, five words, similarity 0.8."""
+    return jaccard.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def tokenizer_path() -> str:
     import public_tokenizers
 
@@ -118,6 +123,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_exact": op4_exact,
     "op5_warc": op5_warc,
     "op6_langid": op6_langid,
+    "op7_jaccard": op7_jaccard,
     "op10_packing": op10_packing,
 }
 

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from delaylens.llm.common import numbered, staged, text_bytes
 
-BINS_PER_SHARD = 4
+BINS_PER_SHARD = 8
 
 
 def least_loaded(loads: list[int], bins: int) -> list[int]:
