@@ -315,8 +315,9 @@ def _rest(candidates: DataFrame, links: DataFrame, labels: DataFrame, sets: Data
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """Set size and component of each row of ``docs``.
 
-    Returns doc_id, n_shingles, component_id: the smallest id that links reach, itself
-    included. Documents without words link with nothing and keep their own id; rows that
+    Returns doc_id, n_shingles, component_id (the smallest id that links reach, itself
+    included), component (a number of the component, null without words) and print (a hash of the
+    text, which tells rows of one id apart). Documents without words link with nothing and keep their own id; rows that
     repeat are in one component; null ids count in no minimum, and a component of null ids
     alone has a null id; other columns are ignored; an empty table gives no rows.
     """
@@ -340,6 +341,14 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     labels = _rest(candidates, links, components(links), sets, pairs)
     placed = _labelled(thin.filter("n > 0"), labels, "node", "component")
     least = placed.groupBy("component").agg(F.min("doc_id").alias("component_id"))
-    linked = placed.join(least, "component").select("doc_id", F.col("n").alias("n_shingles"), "component_id")
-    alone = thin.filter("n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"))
+    linked = placed.join(least, "component").select(
+        "doc_id", F.col("n").alias("n_shingles"), "component_id", "component", "print"
+    )
+    alone = thin.filter("n = 0").select(
+        "doc_id",
+        F.col("n").alias("n_shingles"),
+        F.col("doc_id").alias("component_id"),
+        F.lit(None).cast("long").alias("component"),
+        "print",
+    )
     return linked.unionByName(alone)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from delaylens.llm import exact, jaccard, langid, mixing, packing, sharding, warc
+from delaylens.llm import exact, hashing, jaccard, langid, mixing, packing, quality, sharding, toxicity, warc
 from delaylens.llm.common import fold_of, new_folder, table
 
 SHARDS = 16
@@ -17,6 +17,8 @@ TOKENIZER = "word_bpe_49k.json"
 END_ID = 2
 WINDOW = 4096
 LEAST_PAYLOAD = 100
+NEAREST = 20
+QUERY_STEP = 20
 
 
 def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -42,6 +44,21 @@ def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def labelled(spark: SparkSession, sf_dir: str, folds: int, fold: int) -> tuple[DataFrame, DataFrame]:
+    """Documents with held_out, and those of the other folds with their labels."""
+    held_out = fold_of(F.col("doc_id"), folds) == fold
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", held_out.alias("held_out"))
+    known = docs.filter(~F.col("held_out")).join(table(spark, sf_dir, "labels"), "doc_id")
+    return docs, known
+
+
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of all documents, learned from two thirds of the labels."""
+    docs, known = labelled(spark, sf_dir, 3, 1)
+    found = quality.score(docs, quality.fit(known, F.col("quality")), ["doc_id", "held_out"])
+    return found.select("row.doc_id", "row.held_out", "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 def op4_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Exact duplicates among all documents; the largest doc_id stays."""
     return exact.duplicates(table(spark, sf_dir, "documents"), keep="largest").drop("_copy")
@@ -100,7 +117,22 @@ def op6_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near duplicates among all documents, five words, similarity 0.8."""
-    return jaccard.near_duplicates(table(spark, sf_dir, "documents"))
+    found = jaccard.near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_shingles", "component_id")
+
+
+def op8_hashing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 largest inner products of every 20th vector among all others."""
+    is_query = F.col("vec_id") % QUERY_STEP == 0
+    return hashing.search(table(spark, sf_dir, "embeddings"), is_query, NEAREST)
+
+
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of all documents, learned from three quarters of the labels."""
+    docs, known = labelled(spark, sf_dir, 4, 2)
+    model, prior = toxicity.fit(known, F.col("toxic"))
+    found = toxicity.score(docs, model, prior, ["doc_id", "held_out"])
+    return found.select("row.doc_id", "row.held_out", "score", (F.col("score") >= 0.3).cast("int").alias("predicted"), "terms")
 
 
 def tokenizer_path() -> str:
@@ -120,10 +152,13 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sharding": op1_sharding,
     "op2_mixing": op2_mixing,
+    "op3_quality": op3_quality,
     "op4_exact": op4_exact,
     "op5_warc": op5_warc,
     "op6_langid": op6_langid,
     "op7_jaccard": op7_jaccard,
+    "op8_hashing": op8_hashing,
+    "op9_toxicity": op9_toxicity,
     "op10_packing": op10_packing,
 }
 

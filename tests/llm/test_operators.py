@@ -1,0 +1,582 @@
+"""Every operator against plain Python on small tables with awkward rows."""
+
+import gzip
+import zlib
+from collections import Counter, defaultdict
+from hashlib import sha256
+
+import numpy as np
+import pytest
+
+import corpus_pipeline
+from delaylens.llm import exact, hashing, jaccard, langid, mixing, packing, quality, sharding, toxicity, warc
+from delaylens.llm.common import new_folder
+from delaylens.llm.queries import tokenizer_path
+from delaylens.llm.trie import PatriciaTrie
+from pyspark.sql import functions as F
+
+SCHEMA = (
+    "doc_id long, text string, lang string, source string, n_chars long, "
+    "size int, shard int, k int, n int, bucket int, score string, owner string, row_ string, node int"
+)
+FRENCH = "le chat est dans la maison avec les enfants qui jouent près de la rivière ce matin"
+ENGLISH = "the quick brown fox jumps over the lazy dog while the children watch from the window"
+
+
+def rows_of(pairs):
+    extra = (1, None, 2, 3, None, "x", "y", None, 7)
+    return [(i, t, lang, s, None if t is None else len(t), *extra) for i, t, lang, s in pairs]
+
+
+def awkward():
+    long_text = " ".join(f"word{i % 977} thing{i % 31}" for i in range(30_000))
+    base = [f"w{i}" for i in range(60)]
+    near = base[:30] + ["changed"] + base[31:]
+    return rows_of(
+        [
+            (1, ENGLISH, "en", "b"),
+            (2, ENGLISH, "en", "b"),
+            (2, ENGLISH, "en", "b"),
+            (3, FRENCH, "fr", None),
+            (4, None, None, "a"),
+            (5, "", "en", None),
+            (6, " \t\n ", None, "a"),
+            (7, long_text, "en", "a"),
+            (8, " ".join(base), "en", "\U0001f600"),
+            (9, " ".join(near).upper(), "en", "z"),
+            (10, " ".join(base[:45]), "fr", "z"),
+            (None, ENGLISH + " again", "en", "b"),
+            (None, "no id at all", None, "b"),
+            (11, "one two", "en", "c"),
+            (12, "one two", "fr", "c"),
+            (13, "12 34 !!", "en", "c"),
+            (14, "idiot " + ENGLISH, "en", "c"),
+            (15, "a b İstanbul é", "en", "c"),
+        ]
+    )
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    return spark.createDataFrame(awkward(), SCHEMA)
+
+
+@pytest.fixture(scope="module")
+def empty(spark):
+    return spark.createDataFrame([], SCHEMA)
+
+
+def words(text):
+    return (text or "").encode().lower().split()
+
+
+# sharding
+
+
+def test_shards(docs):
+    got = sharding.shard_texts(docs, 4).collect()
+    want = Counter((r[0], len((r[1] or "").encode()) + 1, zlib.crc32((r[1] or "").encode())) for r in awkward())
+    assert Counter((r["doc_id"], r["size"], r["text_crc32"]) for r in got) == want
+    homes = defaultdict(set)
+    for r in got:
+        homes[r["text_crc32"]].add(r["shard"])
+    assert all(len(h) == 1 for h in homes.values())
+    slots = defaultdict(list)
+    for r in got:
+        slots[r["shard"]].append(r["slot"])
+    assert all(sorted(s) == list(range(len(s))) for s in slots.values()) and set(slots) <= set(range(4))
+
+
+def test_shards_are_even_and_repeat(spark):
+    rows = [(i, "x" * (i * 37 % 400), "en", "a") for i in range(2000)]
+    docs = spark.createDataFrame(rows_of(rows), SCHEMA)
+    got = sharding.shard_texts(docs, 16)
+    loads = [r["s"] for r in got.groupBy("shard").agg(F.sum("size").alias("s")).collect()]
+    assert len(loads) == 16 and max(loads) - min(loads) <= 0.03 * max(loads)
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, sharding.shard_texts(docs, 16).collect()))
+
+
+def test_least_loaded():
+    assert sharding.least_loaded([7, 5, 4, 3, 1], 2) == [0, 1, 1, 0, 1]
+
+
+# mixing
+
+
+def test_capped_targets():
+    assert mixing.capped_targets([10, 10, 10], [1, 2, 3], 30, 3) == [5, 10, 15]
+    got = mixing.capped_targets([1, 100, 100], [100, 1, 1], 201, 3)
+    assert got == [3, 99, 99]
+    assert mixing.capped_targets([], [], 0, 3) == []
+
+
+def test_mix_meets_targets(spark):
+    rng = np.random.default_rng(1)
+    rows = [(i, "w " * int(rng.integers(1, 300)), "en", f"s{i % 7}" if i % 5 else None) for i in range(1500)]
+    docs = spark.createDataFrame(rows_of(rows), SCHEMA)
+    got = mixing.mix(docs, ["doc_id"], mixing.words(F.col("text"))).select("row.doc_id", "*").collect()
+    assert len(got) == len(rows) and max(r["copies"] for r in got) <= 3
+    names = sorted({r[3] for r in rows}, key=lambda s: (s is None, s or ""))
+    sizes = [sum(len(words(r[1])) for r in rows if r[3] == s) for s in names]
+    want = mixing.capped_targets(sizes, [[1, 2, 3][i % 3] for i in range(len(names))], sum(sizes), 3)
+    for k, target in enumerate(want):
+        own = [r for r in got if r["k"] == k]
+        assert own[0]["target"] == pytest.approx(target) and own[0]["source_size"] == sizes[k]
+        assert sum(r["size"] * r["copies"] for r in own) == pytest.approx(target, rel=0.01)
+
+
+def test_mix_awkward(docs):
+    got = mixing.mix(docs, ["doc_id", "text"], mixing.words(F.col("text"))).collect()
+    assert Counter((r["row"]["doc_id"], r["size"]) for r in got) == Counter(
+        (r[0], len(words(r[1]))) for r in awkward()
+    )
+    assert all(r["copies"] == 1 for r in got if not r["size"]) and all(0 <= r["copies"] <= 3 for r in got)
+
+
+# exact duplicates
+
+
+def brute_exact(rows):
+    groups = defaultdict(list)
+    for r in rows:
+        groups[r[1] or ""].append(r[0])
+    out = Counter()
+    for text, ids in groups.items():
+        known = [i for i in ids if i is not None]
+        keep, used = (max(known) if known else None), False
+        for i in ids:
+            kept = i == keep and not used
+            used |= kept
+            out[(i, keep, len(ids), kept, sha256(text.encode()).hexdigest())] += 1
+    return out
+
+
+@pytest.mark.parametrize("budget", [exact.BUDGET, 3000])
+def test_exact(docs, budget):
+    got = exact.duplicates(docs, budget=budget).drop("_copy").collect()
+    assert Counter(map(tuple, got)) == brute_exact(awkward())
+
+
+def test_exact_spills(spark):
+    rows = rows_of([(i, f"prefix {i % 700} " * 8, "en", "a") for i in range(1500)])
+    got = exact.duplicates(spark.createDataFrame(rows, SCHEMA), budget=4000).drop("_copy").collect()
+    assert Counter(map(tuple, got)) == brute_exact(rows)
+
+
+def test_trie_against_dict():
+    rng = np.random.default_rng(2)
+    trie, plain = PatriciaTrie(), {}
+    for _ in range(3000):
+        key = bytes(rng.integers(97, 100, rng.integers(0, 9)).astype(np.uint8))
+        trie.add(key).append(1)
+        plain[key] = plain.get(key, 0) + 1
+    assert {k: len(e) for k, e in trie.items()} == plain and trie.entries == len(plain)
+    out = trie.spill()
+    rest = dict(trie.items())
+    assert out and not set(rest) & {k for k, _ in out} and set(rest) | {k for k, _ in out} == set(plain)
+    assert all(trie.add(k) is None for k, _ in out) and all(trie.add(k) is not None for k in rest)
+
+
+# archives
+
+
+def page_rows():
+    big = b"<html>" + b"x" * 200
+    return [
+        (1, "http://a/", big), (2, "http://b/", big), (2, "http://b/", big), (3, None, b"small"),
+        (4, "http://c/ \n d", b"small"), (5, "u", None), (None, "v", big), (6, "w", "é".encode() * 90_000),
+        (7, "x", "é".encode() * 90_000), (None, "y", b"q" * 150), (None, "y", b"q" * 150), (8, "z", b"WARC/1.1\r\n\r\n" * 30),
+    ]
+
+
+def test_archives_round_trip(spark):
+    pages = spark.createDataFrame(page_rows(), "record_id long, url string, payload binary").withColumn("digest_", F.lit(1))
+    folder = new_folder(spark, "warc-test")
+    got = warc.read(warc.write(pages, folder)).collect()
+    first = {}
+    for i, _, p in page_rows():
+        if p and len(p) >= 100 and i is not None:
+            first[p] = min(first.get(p, i), i)
+    want = Counter()
+    for i, _, p in page_rows():
+        again = (p or b"") in first and first[p] != i
+        kind, refers = ("revisit", first[p]) if again else ("response", None)
+        want[(i, kind, refers, len(p or b""), sha256(p or b"").hexdigest(), None if again else p or b"")] += 1
+    assert Counter(
+        (r["record_id"], r["record_type"], r["refers_to"], r["payload_bytes"], r["payload_digest"], None if r["payload"] is None else bytes(r["payload"]))
+        for r in got
+    ) == want
+
+
+def test_no_pages(spark):
+    none = spark.createDataFrame([], "record_id long, url string, payload binary")
+    assert warc.read(warc.write(none, new_folder(spark, "warc-test"))).count() == 0
+
+
+def test_damaged_records():
+    import io
+
+    data = warc.record_bytes(1, "u", b"payload", sha256(b"payload").hexdigest(), None, False)
+    two = gzip.compress(data) + gzip.compress(data)
+    assert list(warc.members(io.BytesIO(two))) == [data, data]
+    with pytest.raises(warc.DamagedRecord):
+        list(warc.members(io.BytesIO(two[:-9])))
+    for broken in (data.replace(b"payload\r", b"payloae\r"), data[:-2], data + b"x"):
+        with pytest.raises(warc.DamagedRecord):
+            warc.parse(broken)
+
+
+# language
+
+
+def test_viterbi_against_all_paths():
+    import itertools
+
+    rng = np.random.default_rng(3)
+    lengths = np.array([5, 1, 7, 3])
+    scores = rng.normal(0, 3, (lengths.sum(), 3)).astype(np.float32)
+    path, at = langid.viterbi(scores, lengths, 2.0), 0
+    for n in lengths:
+        own = scores[at : at + n].astype(np.float64)
+
+        def worth(p):
+            return sum(own[i, s] for i, s in enumerate(p)) - 2.0 * sum(a != b for a, b in zip(p, p[1:]))
+
+        best = max(itertools.product(range(3), repeat=int(n)), key=worth)
+        assert worth(path[at : at + n]) == pytest.approx(worth(best))
+        at += n
+
+
+def test_languages_and_spans(spark):
+    greek = "η γάτα κοιμάται στο σπίτι"
+    sample = [(ENGLISH, "en")] * 5 + [(FRENCH, "fr")] * 5 + [(greek, "el")] * 5
+    model = langid.train(sample)
+    mixed = f"{ENGLISH}. {FRENCH}. 12 {greek}"
+    rows = [(1, ENGLISH), (2, FRENCH.upper()), (3, greek), (4, mixed), (5, None), (6, ""), (7, "123 !?"), (8, "привет мир")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("score", F.lit(1))
+    got = {r["row"]["doc_id"]: r for r in langid.label(docs, model, ["doc_id"]).collect()}
+    assert [got[i]["lang_pred"] for i in (1, 2, 3)] == ["en", "fr", "el"]
+    assert [s["lang"] for s in got[4]["spans"]] == ["en", "fr", "el"]
+    assert sum(s["words"] for s in got[4]["spans"]) == len(langid.LETTERS.findall(mixed))
+    assert all(got[i]["lang_pred"] == "und" and got[i]["score"] == 0 for i in (5, 6, 7))
+    assert got[8]["lang_pred"] in ("en", "fr", "el") and all(0 <= r["score"] <= 1 for r in got.values())
+
+
+def test_language_awkward(docs, empty):
+    model = langid.fit(docs, F.col("lang"))
+    got = langid.label(docs, model, ["doc_id", "text"], spans=False).collect()
+    assert len(got) == len(awkward())
+    for r in got:
+        assert (r["lang_pred"] == "und") == (not langid.LETTERS.search(r["row"]["text"] or ""))
+    assert langid.fit(empty, F.col("lang")) is None
+    assert langid.label(docs, None, ["doc_id"]).filter("lang_pred = 'und'").count() == len(awkward())
+
+
+# near duplicates
+
+
+def brute_near(rows):
+    sets = []
+    for r in rows:
+        w = words(r[1])
+        sets.append({tuple(w[i : i + 5]) for i in range(max(len(w) - 4, 1))} if w else set())
+    home = list(range(len(rows)))
+
+    def top(i):
+        while home[i] != i:
+            i = home[i]
+        return i
+
+    for i, a in enumerate(sets):
+        for j in range(i):
+            b = sets[j]
+            if a and b and 100 * len(a & b) >= 80 * len(a | b):
+                home[top(i)] = top(j)
+    least = {}
+    for i, r in enumerate(rows):
+        if r[0] is not None:
+            least[top(i)] = min(least.get(top(i), r[0]), r[0])
+    return Counter((r[0], len(sets[i]), least.get(top(i))) for i, r in enumerate(rows))
+
+
+def near_rows(seed, n, length, edits):
+    rng = np.random.default_rng(seed)
+    rows, texts = [], []
+    for i in range(n):
+        if texts and rng.random() < 0.7:
+            w = list(texts[rng.integers(len(texts))])
+            for _ in range(rng.integers(0, edits)):
+                w[rng.integers(len(w))] = f"e{rng.integers(50)}"
+        else:
+            w = [f"v{rng.integers(40)}" for _ in range(rng.integers(1, length))]
+        texts.append(w)
+        rows.append((int(i), " ".join(w), "en", "a"))
+    return rows_of(rows)
+
+
+@pytest.mark.parametrize("seed, n, length, edits", [(1, 400, 12, 2), (2, 400, 90, 5), (3, 250, 300, 14), (4, 300, 40, 3)])
+def test_near_duplicates_lose_nothing(spark, seed, n, length, edits):
+    rows = near_rows(seed, n, length, edits)
+    got = jaccard.near_duplicates(spark.createDataFrame(rows, SCHEMA)).collect()
+    assert Counter((r["doc_id"], r["n_shingles"], r["component_id"]) for r in got) == brute_near(rows)
+
+
+def test_near_awkward(docs):
+    got = jaccard.near_duplicates(docs).collect()
+    assert Counter((r["doc_id"], r["n_shingles"], r["component_id"]) for r in got) == brute_near(awkward())
+
+
+def test_sketch_bounds_hold():
+    """Any two sets that link share an emitted key."""
+    rng = np.random.default_rng(5)
+    for n in [*range(1, 40), 77, 200, 513, 2000]:
+        for _ in range(6):
+            pool = rng.integers(0, 2**63, 3 * n + 3, dtype=np.uint64)
+            a = np.unique(pool[:n])
+            drop = rng.integers(0, n // 9 + 1)
+            add = rng.integers(0, n // 4 + 1)
+            b = np.unique(np.concatenate([a[drop:], pool[n : n + add]]))
+            if len(b) and 100 * len(np.intersect1d(a, b)) >= 80 * len(np.union1d(a, b)):
+                assert np.intersect1d(jaccard.sketch_keys(a), jaccard.sketch_keys(b)).size
+
+
+def test_components(spark):
+    links = [(1, 2), (2, 3), (9, 8), (8, 7), (7, 6), (6, 5), (5, 4), (20, 10)]
+    got = dict(map(tuple, jaccard.components(spark.createDataFrame(links, "a long, b long")).collect()))
+    assert got == {1: 1, 2: 1, 3: 1, 4: 4, 5: 4, 6: 4, 7: 4, 8: 4, 9: 4, 10: 10, 20: 10}
+
+
+# nearest neighbours
+
+
+def test_index_holds_every_ball():
+    rng = np.random.default_rng(6)
+    codes = rng.integers(0, 256, (500, hashing.BITS // 8)).astype(np.uint8)
+    index = hashing.MultiIndex(codes, 40)
+    far = np.bitwise_count(codes[3] ^ codes).sum(axis=1)
+    for radius in (0, 15, 40, 60, 64, 128):
+        assert index.within(codes[3], radius).tolist() == np.flatnonzero(far <= radius).tolist()
+
+
+@pytest.mark.parametrize("spread", [0.0, 1.0])
+def test_search_recall(spark, spread):
+    rng = np.random.default_rng(7)
+    x = rng.normal(size=(1500, 24)) * np.exp(spread * rng.normal(size=(1500, 1)))
+    rows = [(i, v.tolist(), "x") for i, v in enumerate(x)]
+    bad = [(2000, None, "x"), (2020, [0.0] * 24, "x"), (2040, [float("nan")] * 24, "x"), (2060, [1.0] * 3, "x"), (None, [1.0] * 24, "x")]
+    vectors = spark.createDataFrame(rows + bad, "vec_id long, embedding array<double>, rank string")
+    got = defaultdict(list)
+    for r in hashing.search(vectors, F.col("vec_id") % 20 == 0, 20).orderBy("rank").collect():
+        assert r["score"] == pytest.approx(x[r["query_id"]] @ x[r["vec_id"]], abs=1e-9)
+        got[r["query_id"]].append(r["vec_id"])
+    asked = np.arange(0, 1500, 20)
+    scores = x[asked] @ x.T
+    scores[np.arange(len(asked)), asked] = -np.inf
+    want = np.argsort(-scores, axis=1)[:, :20]
+    assert sorted(got) == asked.tolist()
+    assert np.mean([len(set(got[q]) & set(w)) / 20 for q, w in zip(asked, want)]) >= 0.9
+
+
+def test_search_few_and_ties(spark):
+    rows = [(i, [1.0, 0.0], None) for i in range(5)] + [(3, [1.0, 0.0], None), (7, [-1.0, 0.5], None)]
+    vectors = spark.createDataFrame(rows, "vec_id long, embedding array<double>, score int")
+    got = hashing.search(vectors, F.col("vec_id") == 0, 20).orderBy("rank").collect()
+    assert [(r["rank"], r["vec_id"], r["score"]) for r in got] == [(1, 1, 1.0), (2, 2, 1.0), (3, 3, 1.0), (4, 4, 1.0), (5, 7, -1.0)]
+    assert hashing.search(vectors.limit(0), F.col("vec_id") == 0, 20).count() == 0
+
+
+# classifiers
+
+
+def test_network_gradients():
+    rng = np.random.default_rng(8)
+    net = quality.fresh(1)
+    texts = [bytes(rng.integers(97, 123, n).astype(np.uint8)) for n in (0, 5, 130, 400)]
+    labels, weights = np.array([0, 1, 1, 0], np.float32), np.ones(4, np.float32)
+
+    def loss():
+        z = quality.logits(net, texts).astype(np.float64)
+        return np.mean(np.log1p(np.exp(z)) - labels * z)
+
+    found = quality.gradients(net, texts, labels, weights)
+    for part, grad in zip(net.parts(), found):
+        at = np.unravel_index(np.abs(grad).argmax(), grad.shape)
+        before = part[at]
+        part[at] = before + 1e-2
+        up = loss()
+        part[at] = before - 1e-2
+        down = loss()
+        part[at] = before
+        assert (up - down) / 2e-2 == pytest.approx(grad[at], rel=0.15, abs=1e-4)
+
+
+def test_chunks_cover_whole_texts():
+    """The last bytes of a long text, alone, change its score; a neighbour's bytes do not."""
+    net = quality.fresh(2)
+    a, b = b"a" * 1000, b"a" * 990 + b"!!!!!!!!!!"
+    assert quality.logits(net, [a])[0] != quality.logits(net, [b])[0]
+    alone = quality.logits(net, [b])[0]
+    assert quality.logits(net, [b, b"zzz", b""])[0] == pytest.approx(alone, rel=1e-5)
+    assert np.isfinite(quality.logits(net, [b""])).all()
+
+
+def test_quality_learns(spark):
+    rng = np.random.default_rng(9)
+
+    def text(bad):
+        return " ".join("w" + "".join(map(chr, rng.integers(97, 110, 4))) + ("***" if bad else "") for _ in range(40))
+
+    rows = [(i, text(i % 3 == 0), int(i % 3 != 0)) for i in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, class int")
+    net = quality.fit(docs.filter("doc_id < 200"), F.col("class"))
+    got = quality.score(docs.withColumn("row", F.lit(1)), net, ["doc_id"]).collect()
+    held = [(r["score"], rows[r["row"]["doc_id"]][2]) for r in got if r["row"]["doc_id"] >= 200]
+    assert np.mean([(s >= 0.5) == y for s, y in held]) > 0.95
+
+
+def test_toxicity_learns(spark):
+    rng = np.random.default_rng(10)
+
+    def text(bad):
+        own = [f"t{rng.integers(500)}word" for _ in range(30)]
+        return " ".join([*own, ["jerkface", "nastything", "grumpface"][rng.integers(3)]] if bad else own)
+
+    rows = [(i, text(i % 8 == 0), int(i % 8 == 0) if i % 50 else 1) for i in range(1200)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, class int")
+    model, prior = toxicity.fit(docs.filter("doc_id < 800"), F.col("class"))
+    got = toxicity.score(docs, model, prior, ["doc_id"]).collect()
+    assert all((r["score"] >= 0.3) == (r["row"]["doc_id"] % 8 == 0) for r in got if r["row"]["doc_id"] >= 800)
+
+
+def test_label_model_shares_correlated_votes():
+    rng = np.random.default_rng(11)
+    y = rng.random(4000) < 0.2
+    a = np.where(y, rng.random(4000) < 0.6, rng.random(4000) < 0.02)
+    b = np.where(y, rng.random(4000) < 0.5, rng.random(4000) < 0.03)
+    votes = np.column_stack([a, a, a, b]).astype(float)
+    given = np.where(rng.random(4000) < 0.05, ~y, y).astype(float)
+    belief, share = toxicity.label_model(votes, given)
+    assert share[:3].sum() == pytest.approx(1, abs=0.15) and share[3] > 0.9
+    assert np.mean((belief > 0.5) == y) > 0.93
+
+
+@pytest.mark.parametrize("kind", [quality, toxicity])
+def test_classifiers_awkward(docs, empty, kind):
+    if kind is quality:
+        net = quality.fit(docs, F.when(F.col("doc_id") > 8, 1).otherwise(0))
+        got, none = quality.score(docs, net, ["doc_id"]), quality.score(docs, None, ["doc_id"])
+        assert quality.fit(empty, F.col("size")) is None
+    else:
+        model, prior = toxicity.fit(docs, F.when(F.col("doc_id") > 8, 1).otherwise(0))
+        got, none = toxicity.score(docs, model, prior, ["doc_id"]), toxicity.score(docs, None, 0.1, ["doc_id"])
+        assert toxicity.fit(empty, F.col("size")) == (None, 0)
+    for df in (got, none):
+        found = df.collect()
+        assert len(found) == len(awkward()) and all(0 <= r["score"] <= 1 for r in found)
+
+
+# packing
+
+
+def test_closest_fill():
+    rng = np.random.default_rng(12)
+    for _ in range(200):
+        lengths = rng.integers(1, 40, rng.integers(1, 9)).tolist()
+        capacity = int(rng.integers(1, 120))
+        sums = {0}
+        for n in lengths:
+            sums |= {s + n for s in sums if s + n <= capacity}
+        used = packing.closest_fill(dict(Counter(lengths)), capacity)
+        assert sum(c * n for c, n in used.items()) == max(sums)
+        assert all(n <= Counter(lengths)[c] for c, n in used.items())
+
+
+def check_packed(got, docs):
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(tokenizer_path())
+    want = Counter()
+    for i, text in docs:
+        ids = np.array(tokenizer.encode(text or "", add_special_tokens=False).ids + [2], "<u4")
+        for a in range(0, len(ids), 4096):
+            part = ids[a : a + 4096]
+            want[(i, a, len(part), zlib.crc32(part.tobytes()), len(ids))] += 1
+    assert Counter((r["doc_id"], r["start"], r["length"], r["ids_crc32"], r["doc_tokens"]) for r in got) == want
+    held = defaultdict(list)
+    for r in got:
+        held[r["sequence_id"]].append((r["offset"], r["length"]))
+    for parts in held.values():
+        at = 0
+        for offset, length in sorted(parts):
+            assert offset == at
+            at += length
+        assert at <= 4096
+    assert sorted(held) == list(range(len(held)))
+
+
+def test_packing(docs):
+    cut = packing.pieces(docs, ["doc_id"], tokenizer_path()).select("row.doc_id", "start", "length", "ids_crc32", "doc_tokens")
+    got = packing.pack(cut, ["doc_id", "start", "ids_crc32"]).collect()
+    check_packed(got, [(r[0], r[1]) for r in awkward()])
+
+
+def test_token_cache_equals_whole_texts():
+    from tokenizers import Tokenizer
+
+    whole, ids = Tokenizer.from_file(tokenizer_path()), packing.TokenIds(tokenizer_path())
+    texts = [
+        "It's  the dog's\tDON'T", "ΟΔΟΣ ΟΔΥΣΣΕΥΣ", "a b c\x1cd\x85e", "é ́x", "<|endoftext|> a<|startoftext|>b",
+        "\U0001f600‍\U0001f9d1 x̧ 1234 +-*/", "İI ıi ﬁ", "한국어 日本語 ไทย",
+    ]
+    for text in texts:
+        got = np.frombuffer(b"".join(map(ids.__getitem__, text.encode().split())), "<u4").tolist()
+        assert got == whole.encode(text, add_special_tokens=False).ids
+
+
+# empty tables and the pipeline
+
+
+def test_empty_tables(empty):
+    assert sharding.shard_texts(empty, 4).count() == 0
+    assert mixing.mix(empty, ["doc_id"], mixing.words(F.col("text"))).count() == 0
+    assert exact.duplicates(empty).count() == 0
+    assert jaccard.near_duplicates(empty).count() == 0
+    cut = packing.pieces(empty, ["doc_id"], tokenizer_path()).select("row.doc_id", "start", "length", "ids_crc32", "doc_tokens")
+    assert packing.pack(cut, ["doc_id"]).count() == 0
+
+
+def test_pipeline_stages(spark, docs):
+    stages = dict(corpus_pipeline.STAGES)
+    kept = stages["language"](spark, docs, "")
+    assert kept.columns == docs.columns
+    got = Counter((r["doc_id"], r["text"]) for r in kept.collect())
+    assert all(langid.LETTERS.search(t or "") for _, t in got) and (1, ENGLISH) in got and (3, FRENCH) in got
+
+    got = Counter((r["doc_id"], r["text"]) for r in stages["exact_duplicates"](spark, docs, "").collect())
+    best = {}
+    for r in awkward():
+        text = r[1] or ""
+        best[text] = max((i for i in (best.get(text), r[0]) if i is not None), default=None)
+    assert Counter((i, t or "") for (i, t), n in got.items() for _ in range(n)) == Counter((i, t) for t, i in best.items())
+
+    near = stages["near_duplicates"](spark, docs, "")
+    assert near.columns == docs.columns
+    groups = Counter(c for _, n, c in brute_near(awkward()) if n)
+    ids = Counter(r["doc_id"] for r in near.collect())
+    assert all(ids[c] == 1 for c in groups if c is not None) and ids[4] == ids[5] == ids[6] == 1
+
+    mixed = stages["mixture"](spark, docs, "")
+    assert mixed.columns == docs.columns
+    copies = Counter(r["doc_id"] for r in mixed.collect())
+    assert all(n <= 3 * sum(r[0] == i for r in awkward()) for i, n in copies.items())
+
+    packed = stages["pack"](spark, mixed, "").collect()
+    check_packed(packed, [(r["doc_id"], r["text"]) for r in mixed.collect()])
+
+
+def test_pipeline_empty(spark, empty):
+    docs = empty
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        docs = stage(spark, docs, "")
+        assert docs.columns == empty.columns and docs.count() == 0
+    assert corpus_pipeline.STAGES[-1][1](spark, docs, "").count() == 0
