@@ -3,9 +3,10 @@
 A set's parity sketch XORs every shingle into one bit, so two sketches differ in at most as
 many bits as the sets have elements that are not shared. Sets are compared in size bands.
 For sizes a <= b a link needs b <= 1.25 a and at most (a + b) / 9 unshared shingles, so a
-sketch of more segments than that has a segment on which both sets agree (pigeonhole). Of
-each sketch only as many filled segments as the bound needs, and one more, are emitted, in
-one fixed order; a set with too few filled segments emits its empty ones too. No pair that links is lost.
+sketch of more segments than that has segments on which both sets agree (pigeonhole). Segments are
+ordered by their bits, the fullest first, an order that agreeing segments share. If all but d of the
+segments agree, the first d + 1 of either sketch have one in common, so only these are
+emitted: no pair that links is lost, and a passage that many documents share seldom fills one.
 
 Sets that are equal are one node from the start. In every run of equal segments the first
 node is paired with the others, the pairs are verified on whole sets, and components are
@@ -100,7 +101,7 @@ def tolerances(n: int) -> list[tuple[int, int, int]]:
 
 
 def sketch_keys(found: np.ndarray) -> np.ndarray:
-    """Keys of the segments a set emits: equal keys where two sets agree on a segment of a join."""
+    """Keys of the segments a set emits, the fullest of each join; equal where two sets agree."""
     keys = []
     for join, segments, most in tolerances(len(found)):
         salt = _U((join + 1) * 0xD1B54A32D192ED03 % (1 << 64))
@@ -109,15 +110,14 @@ def sketch_keys(found: np.ndarray) -> np.ndarray:
         # parity: a bit that an even number of shingles hits is not set
         bits, hits = np.unique(bits, return_counts=True)
         bits = bits[hits % 2 == 1]
-        at = bits >> _U(BIT_SPACE)
-        filled, first = np.unique(at, return_index=True)
+        filled, first, tokens = np.unique(bits >> _U(BIT_SPACE), return_index=True, return_counts=True)
         prints = np.bitwise_xor.reduceat(mix(bits + salt), first) if len(bits) else np.zeros(0, np.uint64)
         own = mix(prints + filled * _U(0x9E3779B97F4A7C15) + salt)
-        if len(own) > most:
-            own = own[: most + 1]
-        else:
+        own = own[np.lexsort((own, -tokens))]
+        if len(own) <= most:
             empty = np.setdiff1d(np.arange(segments, dtype=np.uint64), filled)
-            own = np.concatenate([own, mix(mix(empty + salt) + _U(1))])
+            own = np.concatenate([own, np.sort(mix(mix(empty + salt) + _U(1)))])
+        own = own[: most + 1]
         keys.append(own)
     return np.concatenate(keys).view(np.int64)
 
