@@ -10,7 +10,7 @@ emitted: no pair that links is lost, and a passage that many documents share sel
 
 Sets that are equal are one node from the start. In every run of equal segments the first
 node is paired with the others, the pairs are verified on whole sets, and components are
-found. Runs that still hold more than one component go on with their second node, the next
+found. Runs that still hold more than one component go on with the node that shares most runs, the next
 two, the next four and so on, so that a group's pairs are only formed where they can matter.
 """
 
@@ -21,7 +21,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from delaylens.llm.common import slices, staged
@@ -290,8 +290,12 @@ def _rest(candidates: DataFrame, links: DataFrame, labels: DataFrame, sets: Data
     if most is None:
         return labels
     rows = candidates.join(open_runs.select("key"), "key", "left_semi")
+    members = rows.select("key", F.col("b").alias("node"), F.col("nb").alias("n"))
+    # a text that others were made from shares the most runs: it goes first, and links most of them at once
+    common = members.groupBy("node").agg(F.count("*").alias("runs"))
+    turn = Window.partitionBy("key").orderBy(F.desc("runs"), "node")
     members = staged(
-        rows.select("key", F.col("b").alias("node"), F.col("nb").alias("n"), "place"), "members"
+        members.join(common, "node").select("key", "node", "n", F.row_number().over(turn).alias("place")), "members"
     )
     low = 1
     while low < most:
