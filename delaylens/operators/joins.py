@@ -8,7 +8,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 BROADCAST_ROWS = 200_000
-SMALLEST_HOT_SHARE = 0.0005
 SKETCHES = 64
 SKETCH_ITEMS = 1024
 
@@ -18,16 +17,52 @@ def fits(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
     return df.count() <= max_rows
 
 
+INTEGRAL = ["tinyint", "smallint", "int", "bigint"]
+FLOATING = ["float", "double"]
+
+
+def common_type(a: str, b: str) -> str:
+    """The type two key types are compared in; fails where neither widens to the other."""
+    if a == b:
+        return a
+    if a in INTEGRAL and b in INTEGRAL:
+        return "bigint"
+    if a in INTEGRAL + FLOATING and b in INTEGRAL + FLOATING:
+        return "double"
+    raise TypeError(f"keys of types {a} and {b} do not compare; cast one of them")
+
+
+def same_keys(facts: DataFrame, dim: DataFrame, on: list[str]) -> tuple[DataFrame, DataFrame, list[str]]:
+    """Give keys of different types a common one, in columns of their own; ``facts`` keeps its keys."""
+    left, right, keys = dict(facts.dtypes), dict(dim.dtypes), []
+    for c in on:
+        kind = common_type(left[c], right[c])
+        if left[c] != right[c]:
+            facts = facts.withColumn(f"_key_{c}", F.col(c).cast(kind))
+            dim = dim.withColumn(f"_key_{c}", F.col(c).cast(kind)).drop(c)
+            keys.append(f"_key_{c}")
+        else:
+            keys.append(c)
+    return facts, dim, keys
+
+
+def _plain(joined: DataFrame, on: list[str], keys: list[str]) -> DataFrame:
+    """Leave the keys of :func:`same_keys` out; the given ones come first, as in any join."""
+    return joined.select(*on, *[c for c in joined.columns if c not in on and c not in keys])
+
+
 def lookup(
     facts: DataFrame, dim: DataFrame, on: list[str], how: str = "inner", max_rows: int = BROADCAST_ROWS
 ) -> DataFrame:
     """Join ``dim`` to ``facts`` on equally named columns.
 
     The dimension is broadcast once its row count has been checked; beyond the
-    bound the rows are shuffled, with hot keys salted.
+    bound the rows are shuffled, with hot keys salted. Both ways compare keys in
+    their common type, so the rows do not depend on the size of ``dim``.
     """
     if fits(dim, max_rows):
-        return facts.join(F.broadcast(dim), on, how)
+        facts, dim, keys = same_keys(facts, dim, on)
+        return _plain(facts.join(F.broadcast(dim), keys, how), on, keys)
     return skew_join(facts, dim, on, how)
 
 
@@ -38,9 +73,9 @@ def hot_keys(df: DataFrame, on: list[str], partitions: int | None = None) -> dic
     at most about ``1 / share`` numbers reach the driver. A sketch may overcount,
     which only salts more.
     """
-    share = max(1 / (partitions or cluster_width(df)), SMALLEST_HOT_SHARE)
-    most = min(int(1 / share) + 1, SKETCH_ITEMS)
-    sketch = F.expr(f"approx_top_k(key, {most}, {SKETCH_ITEMS})").alias("top")
+    share = 1 / (partitions or cluster_width(df))
+    most = int(1 / share) + 1
+    sketch = F.expr(f"approx_top_k(key, {most}, {max(SKETCH_ITEMS, 4 * most)})").alias("top")
     keys = df.select(F.xxhash64(*on).alias("key"))
     found = keys.groupBy(F.pmod("key", F.lit(SKETCHES))).agg(F.count("*").alias("n"), sketch).collect()
     n = sum(g["n"] for g in found)
@@ -68,15 +103,16 @@ def skew_join(
     rows, so a task that runs again salts alike; identical rows stay together,
     so remove duplicates first.
     """
-    same = dict(facts.select(*on).dtypes)
-    dim = dim.select(*[F.col(c).cast(same[c]).alias(c) if c in on else F.col(c) for c in dim.columns])
+    facts, dim, keys = same_keys(facts, dim, on)
+    given, on = on, keys
     partitions = partitions or cluster_width(facts)
     if hot is None:
         hot = hot_keys(facts, on, partitions)
     if not hot:
-        return facts.join(dim, on, how)
+        return _plain(facts.join(dim, on, how), given, on)
     pieces = pieces_of(on, hot, partitions)
-    return salted(facts, pieces).join(copied(dim, pieces), [*on, "_salt"], how).drop("_salt")
+    joined = salted(facts, pieces).join(copied(dim, pieces), [*on, "_salt"], how).drop("_salt")
+    return _plain(joined, given, on)
 
 
 def pieces_of(on: list[str], hot: dict[int, float], partitions: int) -> Column:

@@ -150,13 +150,12 @@ def label_by_flag(df: DataFrame, flags: list[str], label: str) -> DataFrame:
 def correlation(df: DataFrame, cols: list[str]) -> DataFrame:
     """Pearson correlations in long form; rows with an invalid value are skipped.
 
-    One pass of plain sums. Values are taken relative to the mean of a few rows,
-    which does not change the result but keeps the sums of products accurate.
+    Plain sums of values relative to their mean, which a first pass finds: that does
+    not change the result but keeps the sums of products accurate.
     """
     valid = df.select(*[F.col(c).cast("double").alias(c) for c in cols]).na.drop()
-    few = valid.take(100)
-    shift = {c: sum(r[c] for r in few) / max(len(few), 1) for c in cols}
-    moved = valid.select(*[(F.col(c) - shift[c]).alias(f"v{i}") for i, c in enumerate(cols)])
+    means = valid.agg(*[F.avg(c).alias(f"m{i}") for i, c in enumerate(cols)]).first()
+    moved = valid.select(*[(F.col(c) - (means[i] or 0.0)).alias(f"v{i}") for i, c in enumerate(cols)])
     pairs = [(i, j) for i in range(len(cols)) for j in range(i, len(cols))]
     sums = moved.agg(
         F.count("*").alias("n"),

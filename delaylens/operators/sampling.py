@@ -17,8 +17,8 @@ def hash_unit(keys: list[str], seed: int = 0) -> Column:
     return F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("double") / F.lit(float(2**32))
 
 
-def class_counts(df: DataFrame, label: str) -> DataFrame:
-    return df.groupBy(label).agg(F.count("*").alias("n"))
+def class_counts(df: DataFrame, *labels: str) -> DataFrame:
+    return df.groupBy(*labels).agg(F.count("*").alias("n"))
 
 
 def undersample(

@@ -97,12 +97,12 @@ def _hash_sql(keys: list[str], seed: int) -> str:
     return f"(('0x' || substr(md5({text}), 1, 8))::BIGINT / 4294967296.0)"
 
 
-def labelled(spark: SparkSession, base: str, even: bool = False) -> DataFrame:
-    return features.delay_label(flights(spark, base, even), "actual_dep_time", "dep_delay")
+def labelled(spark: SparkSession, base: str) -> DataFrame:
+    return features.delay_label(flights(spark, base), "actual_dep_time", "dep_delay")
 
 
-def dated(spark: SparkSession, base: str, even: bool = False) -> DataFrame:
-    return labelled(spark, base, even).withColumn("year", features.year_of("fl_date"))
+def dated(spark: SparkSession, base: str) -> DataFrame:
+    return labelled(spark, base).withColumn("year", features.year_of("fl_date"))
 
 
 # ---------------------------------------------------------------- roll-up and joins
@@ -202,7 +202,7 @@ SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, o.tz AS tz,
 FROM flights LEFT JOIN zones o ON airport_iata = o.site LEFT JOIN zones d ON dest_iata = d.site""")
 def hhmm_to_utc(spark, base):
     zones = standin.zones(spark, base)
-    df = flights(spark, base, even=True)
+    df = flights(spark, base)
     df = timeutil.attach_tz(df, "airport_iata", zones, "left", zone_key="site")
     df = timeutil.attach_tz(df, "dest_iata", zones, "left", zone_key="site", out="dest_tz")
 
@@ -672,7 +672,7 @@ def rank_orders(spark, base):
 @query(f"WITH {_FLIGHTS} SELECT year, delay_label, count(*) AS n FROM flights GROUP BY ALL")
 def class_counts(spark, base):
     df = dated(spark, base)
-    return df.groupBy("year", "delay_label").agg(F.count("*").alias("n"))
+    return sampling.class_counts(df, "year", "delay_label")
 
 
 @query(f"""WITH {_FLIGHTS}, f AS (
@@ -857,14 +857,14 @@ def rmse(spark, base):
 
 
 @query(f"""WITH {_SCORED}, b AS (
-  SELECT least(CAST(floor(score * 100) AS BIGINT), 99) AS bin, sum(delay_label) AS pos, sum(1 - delay_label) AS neg FROM scored GROUP BY 1),
-p AS (SELECT bin, sum(pos) OVER (ORDER BY bin DESC)::DOUBLE / sum(pos) OVER () AS tpr,
-             sum(neg) OVER (ORDER BY bin DESC)::DOUBLE / sum(neg) OVER () AS fpr FROM b),
-s AS (SELECT *, (fpr - lag(fpr, 1, 0) OVER (ORDER BY bin DESC)) * (tpr + lag(tpr, 1, 0) OVER (ORDER BY bin DESC)) / 2 AS slab FROM p)
-SELECT bin, round(bin / 100.0, 6) AS threshold, round(fpr, 8) AS fpr, round(tpr, 8) AS tpr,
-       round(sum(slab) OVER (ORDER BY bin DESC), 8) AS area FROM s""")
+  SELECT score, sum(delay_label) AS pos, sum(1 - delay_label) AS neg FROM scored GROUP BY 1),
+p AS (SELECT score, sum(pos) OVER (ORDER BY score DESC)::DOUBLE / sum(pos) OVER () AS tpr,
+             sum(neg) OVER (ORDER BY score DESC)::DOUBLE / sum(neg) OVER () AS fpr FROM b),
+s AS (SELECT *, (fpr - lag(fpr, 1, 0) OVER (ORDER BY score DESC)) * (tpr + lag(tpr, 1, 0) OVER (ORDER BY score DESC)) / 2 AS slab FROM p)
+SELECT round(score, 6) AS threshold, round(fpr, 8) AS fpr, round(tpr, 8) AS tpr,
+       round(sum(slab) OVER (ORDER BY score DESC), 8) AS area FROM s""")
 def roc_points(spark, base):
-    df = evaluate.roc(scored(spark, base), "delay_label", "score", bins=100)
+    df = evaluate.roc(scored(spark, base), "delay_label", "score")
     return df.withColumns({"threshold": F.round("threshold", 6), **{c: F.round(c, 8) for c in ("fpr", "tpr", "area")}})
 
 
@@ -892,7 +892,7 @@ _PLAIN = ["is_holiday", *schemas.SEASONS, *schemas.DAY_PARTS, *[c + "_scaled" fo
 
 def model_tables(spark: SparkSession, base: str) -> tuple[DataFrame, DataFrame]:
     """Scaled training years and the held-out year, materialised once."""
-    df = features.holiday_flag(dated(spark, base, even=True), "fl_date", standin.holidays(spark))
+    df = features.holiday_flag(dated(spark, base), "fl_date", standin.holidays(spark))
     df = features.seasons(df, "month")
     df = features.day_parts(df.withColumn("hour", timeutil.hhmm_hour(timeutil.clamp_hhmm("target_dep_time"))), "hour")
     wanted = [*_CATEGORICAL, *schemas.DAY_PARTS, *_NUMERIC]

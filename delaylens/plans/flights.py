@@ -54,8 +54,8 @@ def curate_weather(
 def flight_times(flights: DataFrame, compat_utc: bool = False) -> DataFrame:
     """Add the six UTC times from local ``HHMM`` and the zones ``tz`` and ``dest_tz``.
 
-    Arrivals use the destination's zone and a later day when they would precede
-    the departure before them. ``compat_utc`` uses the origin's zone and date
+    Departures fall on the day nearest to the target and ``dep_delay``; arrivals use the destination's
+    zone, and each later event the first day on which it does not precede the one before. ``compat_utc`` uses the origin's zone and date
     throughout and takes 0 for missing.
     """
     if compat_utc:
@@ -66,23 +66,30 @@ def flight_times(flights: DataFrame, compat_utc: bool = False) -> DataFrame:
         {utc: timeutil.hhmm_to_utc("fl_date", t, "dest_tz" if dest else "tz") for t, utc, dest in FLIGHT_TIMES}
     )
 
-    def after(c: str, earlier: str) -> Column:
-        """Add whole days until ``c`` is no longer before ``earlier``."""
-        days = F.extract(F.lit("DAY"), F.col(earlier) - F.col(c)) + 1
-        return F.when(F.col(c) < F.col(earlier), F.col(c) + F.make_dt_interval(days)).otherwise(F.col(c))
-
-    day = F.expr("INTERVAL 1 DAY")
-    half_day = F.expr("INTERVAL 12 HOURS")
-    target, actual = F.col("target_dep_utc_timestamp"), F.col("actual_dep_utc_timestamp")
-    df = df.withColumn(
-        "actual_dep_utc_timestamp", F.when(actual < target - half_day, actual + day).otherwise(actual)
-    )
-    df = df.withColumn("wheels_off_utc_timestamp", after("wheels_off_utc_timestamp", "actual_dep_utc_timestamp"))
+    day, half_day = F.expr("INTERVAL 1 DAY"), F.expr("INTERVAL 12 HOURS")
+
+    def moved(time: Column, upto: Column) -> Column:
+        """``time`` moved by whole days to the last one not after ``upto``."""
+        near = time + F.make_dt_interval(F.extract(F.lit("DAY"), upto - time))
+        return F.when(near > upto, near - day).otherwise(near)
+
+    def after(c: str, *earlier: str) -> Column:
+        """Add whole days until ``c`` is no longer before the first known of ``earlier``."""
+        before = F.coalesce(*earlier)
+        last = moved(F.col(c), before)
+        first = F.when(last < before, last + day).otherwise(last)
+        return F.when(F.col(c) < before, first).otherwise(F.col(c))
+
+    # of all days the one on which the departure lies nearest to its target and delay
+    late = F.make_dt_interval(mins=F.coalesce(F.col("dep_delay"), F.lit(0.0)).cast("int"))
+    actual, expected = F.col("actual_dep_utc_timestamp"), F.col("target_dep_utc_timestamp") + late
+    dep, off, on = (f"{c}_utc_timestamp" for c in ("actual_dep", "wheels_off", "wheels_on"))
+    df = df.withColumn(dep, F.when(expected.isNotNull(), moved(actual, expected + half_day)).otherwise(actual))
+    df = df.withColumn(off, after(off, dep)).withColumn(on, after(on, off, dep))
     return df.withColumns(
         {
             "target_arr_utc_timestamp": after("target_arr_utc_timestamp", "target_dep_utc_timestamp"),
-            "wheels_on_utc_timestamp": after("wheels_on_utc_timestamp", "wheels_off_utc_timestamp"),
-            "actual_arr_utc_timestamp": after("actual_arr_utc_timestamp", "actual_dep_utc_timestamp"),
+            "actual_arr_utc_timestamp": after("actual_arr_utc_timestamp", on, off, dep),
         }
     )
 

@@ -12,16 +12,6 @@ def read_table(spark: SparkSession, base: str, name: str, suffix: str = "") -> D
     return spark.read.parquet(f"{base.rstrip('/')}/{name}{suffix}")
 
 
-def spread(table: DataFrame) -> DataFrame:
-    """Use every core when the files of a scanned table give fewer splits than cores.
-
-    Large tables already have more splits than cores and are left alone. Meant
-    for a scan only, whose splits are known without running anything.
-    """
-    cores = table.sparkSession.sparkContext.defaultParallelism
-    return table.repartition(cores) if table.rdd.getNumPartitions() < cores else table
-
-
 def read_delimited(
     spark: SparkSession,
     path: str,

@@ -105,6 +105,17 @@ KNOWN_ONLY_AFTERWARDS = [
     "nas_delay",
     "security_delay",
     "late_aircraft_delay",
+    "dep_delay",
+    "arr_delay",
+    "actual_dep_time",
+    "actual_arr_time",
+    "actual_dep_utc_timestamp",
+    "actual_arr_utc_timestamp",
+    "wheels_off",
+    "wheels_on",
+    "cancelled",
+    "cancellation_code",
+    "diverted",
 ]
 
 BUSY_AIRPORTS = ["ORD", "ATL"]

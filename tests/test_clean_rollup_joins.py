@@ -122,3 +122,22 @@ def test_plans_stay_native(spark):
     plan = hourly._jdf.queryExecution().executedPlan().toString()
     assert "EvalPython" not in plan
     assert "partial_avg" in plan
+
+
+@pytest.mark.parametrize("how", ["inner", "left"])
+@pytest.mark.parametrize("left, right", [("int", "int"), ("int", "bigint"), ("bigint", "double"), ("int", "double"), ("string", "string"), ("decimal(5,1)", "decimal(5,1)")])
+def test_lookup_rows_do_not_depend_on_size(spark, left, right, how):
+    facts = spark.createDataFrame([(1.0,), (2.0,), (2.0,), (None,)], "k double").select(F.col("k").cast(left))
+    dim = spark.createDataFrame([(1.5, "x"), (2.0, "y"), (None, "z")], "k double, v string")
+    dim = dim.filter("k <> 1.5 or k is null" if right in ("int", "bigint") else "true").select(F.col("k").cast(right), "v")
+    small = joins.lookup(facts, dim, ["k"], how)
+    large = joins.lookup(facts, dim, ["k"], how, max_rows=0)
+    assert small.dtypes == large.dtypes and dict(small.dtypes)["k"] == left
+    assert sorted(map(str, small.collect())) == sorted(map(str, large.collect()))
+    assert [r["v"] for r in small.filter("v is not null").collect()] == ["y", "y"]
+
+
+def test_lookup_refuses_unlike_keys(spark):
+    facts = spark.createDataFrame([("1",)], "k string")
+    with pytest.raises(TypeError):
+        joins.lookup(facts, spark.createDataFrame([(1,)], "k int"), ["k"])

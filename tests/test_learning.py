@@ -102,8 +102,12 @@ def test_metrics_match_mllib(scores):
     assert got["recall"] == pytest.approx(got["accuracy"]) and got["n"] == 500
     area = BinaryClassificationEvaluator(labelCol="y", rawPredictionCol="s", numBins=0).evaluate(scores)
     assert evaluate.auc(scores, "y", "s").first()[0] == pytest.approx(area)
-    points = evaluate.roc(scores, "y", "s", bins=200).orderBy("bin").collect()
-    assert points[0]["area"] == pytest.approx(area, abs=5e-3)
+    points = evaluate.roc(scores, "y", "s").orderBy("threshold").collect()
+    assert points[0]["area"] == pytest.approx(area)
+    wide = evaluate.roc(scores.withColumn("s", F.col("s") * 9 - 4), "y", "s").orderBy("threshold").collect()
+    assert [(r["fpr"], r["tpr"]) for r in wide] == [(r["fpr"], r["tpr"]) for r in points]
+    one = evaluate.roc(scores.filter("y = 1"), "y", "s").collect()
+    assert all(r["fpr"] is None and r["area"] is None for r in one)
     assert (points[0]["fpr"], points[0]["tpr"]) == (1.0, 1.0)
     want = RegressionEvaluator(labelCol="y", predictionCol="s", metricName="rmse").evaluate(scores)
     assert evaluate.rmse(scores, "y", "s").first()[0] == pytest.approx(want)

@@ -146,6 +146,12 @@ def test_zscore(spark):
     assert rows(b) == [(2.0, 0.0), (None, 0.0)]
 
 
+@pytest.mark.parametrize("name", [*schemas.KNOWN_ONLY_AFTERWARDS, "wheels_on_utc_timestamp", "dep_delay_scaled"])
+def test_guard_names_each_leak(name):
+    with pytest.raises(ValueError):
+        features.guard(["month", name], schemas.KNOWN_ONLY_AFTERWARDS)
+
+
 def test_guard_and_drop_correlated(spark):
     assert features.guard(["month"], ["weather_delay"]) == ["month"]
     with pytest.raises(ValueError, match="weather_delay"):
