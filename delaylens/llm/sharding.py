@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from delaylens.llm.common import numbered, staged, text_bytes
 
-BINS_PER_SHARD = 8
+BINS_PER_SHARD, BINS_OF_A_SHARD = 4, 256
 
 
 def least_loaded(loads: list[int], bins: int) -> list[int]:
@@ -63,9 +63,12 @@ def assign(rows: DataFrame, shards: int, group: str = "group", size: str = "size
     """
     spark = rows.sparkSession
     loads = rows.groupBy(F.col(group).alias("group")).agg(F.sum(size).cast("long").alias("load"))
-    ordered = loads.repartition("group").sortWithinPartitions(F.desc("load"), "group")
+    # a shard is made of this many bins, or of a few from each task, so that bins are small beside it
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    bins_per_shard = max(BINS_PER_SHARD, -(-BINS_OF_A_SHARD // tasks))
+    ordered = loads.repartition(tasks, "group").sortWithinPartitions(F.desc("load"), "group")
     kind = dict(rows.dtypes)[group]
-    schedule = _schedule_partition(shards * BINS_PER_SHARD)
+    schedule = _schedule_partition(shards * bins_per_shard)
     placed = staged(ordered.mapInArrow(schedule, f"group {kind}, load long, task int, bin int"), "groups")
     bins = sorted(
         placed.groupBy("task", "bin").agg(F.sum("load").alias("load")).collect(),
