@@ -10,8 +10,10 @@ emitted: no pair that links is lost, and a passage that many documents share sel
 
 Sets that are equal are one node from the start. In every run of equal segments the first
 node is paired with the others, the pairs are verified on whole sets, and components are
-found. Runs that still hold more than one component go on with the node that shares most runs, the next
-two, the next four and so on, so that a group's pairs are only formed where they can matter.
+found. In a run that still holds more than one component, the node that shares most runs becomes the
+pivot. What a set and the pivot do not share is the XOR of the two; two sets of a run link only if enough of these
+differences agree, so a prefix join on the rarest differences finds every pair left, and copies edited
+in different places never meet.
 """
 
 from __future__ import annotations
@@ -28,7 +30,7 @@ from delaylens.llm.common import slices, staged
 from delaylens.operators.joins import lookup
 
 SHINGLE = 5
-BAND = 1.5
+BAND = 3
 SLACK = 1.12
 BIT_SPACE = 16
 CACHE_WORDS = 300_000
@@ -274,8 +276,8 @@ def _labelled(rows: DataFrame, labels: DataFrame, node: str, out: str) -> DataFr
     return rows.join(found, node, "left").withColumn(out, F.coalesce("_c", F.col(node))).drop("_c")
 
 
-def _rest(candidates: DataFrame, links: DataFrame, labels: DataFrame, sets: DataFrame, done: DataFrame) -> DataFrame:
-    """Component labels after the runs that hold more than one component are compared in full."""
+def _rest(candidates: DataFrame, links: DataFrame, labels: DataFrame, sets: DataFrame) -> DataFrame:
+    """Component labels after the runs that hold more than one component are compared through a pivot."""
     marked = _labelled(_labelled(candidates, labels, "a", "ca"), labels, "b", "cb")
     runs = marked.groupBy("key").agg(
         F.max("place").alias("last"),
@@ -285,35 +287,75 @@ def _rest(candidates: DataFrame, links: DataFrame, labels: DataFrame, sets: Data
     )
     # runs of the same nodes are one
     open_runs = runs.filter("open and last > 1").groupBy("members", "first", "last").agg(F.min("key").alias("key"))
-    open_runs = staged(open_runs.select("key", "last"), "runs")
-    most = open_runs.agg(F.max("last")).first()[0]
-    if most is None:
+    open_runs = staged(open_runs.select("key"), "runs")
+    if open_runs.isEmpty():
         return labels
-    rows = candidates.join(open_runs.select("key"), "key", "left_semi")
+    rows = candidates.join(open_runs, "key", "left_semi")
     members = rows.select("key", F.col("b").alias("node"), F.col("nb").alias("n"))
-    # a text that others were made from shares the most runs: it goes first, and links most of them at once
+    # a text that others were made from shares the most runs and lies closest to them
     common = members.groupBy("node").agg(F.count("*").alias("runs"))
-    turn = Window.partitionBy("key").orderBy(F.desc("runs"), "node")
-    members = staged(
-        members.join(common, "node").select("key", "node", "n", F.row_number().over(turn).alias("place")), "members"
+    turned = members.join(common, "node")
+    pivots = turned.groupBy("key").agg(F.max_by(F.struct("node", "n"), F.struct("runs", "node")).alias("pivot"))
+    spokes = turned.join(pivots, "key").select("pivot.node", "pivot.n", F.col("node").alias("x"), F.col("n").alias("nx"))
+    spokes = spokes.toDF("p", "np", "x", "nx").filter("p <> x").distinct()
+    apart = staged(differences(spokes, sets), "differences")
+    near_pivot = apart.filter("linked").select(F.col("p").alias("a"), F.col("x").alias("b"))
+    if not near_pivot.isEmpty():
+        links = staged(links.unionByName(near_pivot), "links")
+        labels = components(links)
+    fresh = staged(sharing_differences(apart, labels), "pairs")
+    if fresh.isEmpty():
+        return labels
+    more = staged(verified(fresh, sets), "links")
+    return labels if more.isEmpty() else components(links.unionByName(more))
+
+
+def differences(spokes: DataFrame, sets: DataFrame) -> DataFrame:
+    """The shingles (``apart``) that a set ``x`` and its pivot ``p`` do not share, and whether they link."""
+    left = sets.select(F.col("node").alias("p"), F.col("shingles").alias("sp"))
+    right = sets.select(F.col("node").alias("x"), F.col("shingles").alias("sx"))
+    both = spokes.join(left, "p").join(right, "x")
+    apart = F.concat(F.array_except("sx", "sp"), F.array_except("sp", "sx"))
+    found = both.select("p", "np", "x", "nx", apart.alias("apart")).withColumn("d", F.size("apart").cast("long"))
+    return found.withColumn("linked", 9 * F.col("d") <= F.col("np") + F.col("nx"))
+
+
+def sharing_differences(apart: DataFrame, labels: DataFrame) -> DataFrame:
+    """Pairs (a, b) of members of a pivot that may link although they are not in one component yet.
+
+    With dx and dy shingles by which x and y differ from the pivot, x and y differ in
+    dx + dy - 2c of them, c being the differences they have in common. A link allows (nx + ny) / 9, so
+    c >= (dx + dy - (nx + ny) / 9) / 2. Two sets that both link with the pivot are in one component; for any
+    others this is more than (d + (np - n) / 9) / 2 for the one whose partner does not
+    link with the pivot. With the rarest differences first, the first d - c + 1 of both have one in common.
+    """
+    place = _labelled(apart, labels, "x", "c")
+    hub = _labelled(apart.select("p").distinct(), labels, "p", "pc")
+    open_pivots = place.join(hub, "p").groupBy("p").agg(F.max(F.col("c") != F.col("pc")).alias("open")).filter("open")
+    place = place.join(open_pivots.select("p"), "p", "left_semi")
+    half = F.col("d") - F.floor((9 * F.col("d") + F.col("np") - F.col("nx")) / 18)
+    full = F.least(F.col("d"), F.floor(F.col("nx") / 4) + 1)
+    each = staged(place.select("p", "x", "nx", "d", "linked", "c", full.alias("full"), F.least(half, full).alias("half"), F.explode("apart").alias("shingle")), "apart")
+    counts = each.groupBy("p", "shingle").agg(F.count("*").alias("times")).filter("times > 1")
+    rare = Window.partitionBy("p", "x").orderBy("times", "shingle")
+    whole = Window.partitionBy("p", "x")
+    # shingles of one member alone come before the shared ones
+    ranked = each.join(counts, ["p", "shingle"]).withColumn(
+        "at", F.col("d") - F.count("*").over(whole) + F.row_number().over(rare)
     )
-    low = 1
-    while low < most:
-        now = _labelled(members, labels, "node", "c")
-        left = now.filter((F.col("place") >= low) & (F.col("place") < 2 * low)).select(
-            "key", F.col("node").alias("a"), F.col("n").alias("na"), F.col("place").alias("pa"), F.col("c").alias("ca")
-        )
-        right = now.select("key", F.col("node").alias("b"), F.col("n").alias("nb"), F.col("place").alias("pb"), F.col("c").alias("cb"))
-        pairs = left.join(right, "key").filter((F.col("pb") > F.col("pa")) & (F.col("ca") != F.col("cb")) & near("na", "nb"))
-        fresh = staged(pairs.select("a", "b").distinct().join(done, ["a", "b"], "left_anti"), "pairs")
-        if not fresh.isEmpty():
-            more = staged(verified(fresh, sets), "links")
-            done = done.unionByName(fresh)
-            if not more.isEmpty():
-                links = links.unionByName(more)
-                labels = components(links)
-        low *= 2
-    return labels
+    ranked = staged(ranked.filter(F.col("at") <= F.when(F.col("linked"), F.col("half")).otherwise(F.col("full"))), "rare")
+
+    def side(i: str) -> DataFrame:
+        return ranked.select("p", "shingle", *[F.col(c).alias(f"{c}{i}") for c in ("x", "nx", "d", "linked", "c", "half", "at")])
+
+    least = F.greatest(F.ceil((9 * (F.col("d1") + F.col("d2")) - F.col("nx1") - F.col("nx2")) / 18), F.lit(1))
+    # both unlinked: the first half of either; else all of the unlinked one's against the linked one's half
+    asked = ~F.col("linked1") & (F.col("linked2") | ((F.col("x1") < F.col("x2")) & (F.col("at1") <= F.col("half1"))))
+    pairs = side("1").filter("not linked1").join(side("2").filter("at2 <= half2"), ["p", "shingle"]).filter(
+        asked & (F.col("c1") != F.col("c2")) & near("nx1", "nx2")
+        & (F.col("at1") <= F.col("d1") - least + 1) & (F.col("at2") <= F.col("d2") - least + 1)
+    )
+    return pairs.select(F.least("x1", "x2").alias("a"), F.greatest("x1", "x2").alias("b")).distinct()
 
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -342,7 +384,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     wanted = lookup(printed.select("text", "print"), prints.select("print").distinct(), ["print"], "left_semi")
     sets = staged(wanted.select("text").mapInArrow(_sets, "node long, shingles array<long>").dropDuplicates(["node"]), "shingles")
     links = staged(verified(pairs, sets), "links")
-    labels = _rest(candidates, links, components(links), sets, pairs)
+    labels = _rest(candidates, links, components(links), sets)
     placed = _labelled(thin.filter("n > 0"), labels, "node", "component")
     least = placed.groupBy("component").agg(F.min("doc_id").alias("component_id"))
     linked = placed.join(least, "component").select(
