@@ -36,10 +36,8 @@ BIT_SPACE = 16
 CACHE_WORDS = 300_000
 SEEN_SETS = 500_000
 SLICE_BYTES = 8 << 20
-OUT_ROWS = 100_000
 _U = np.uint64
 
-
 def mix(x: np.ndarray) -> np.ndarray:
     """A bijective 64-bit finalizer."""
     x = x ^ (x >> _U(30))
@@ -49,6 +47,10 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> _U(31))
 
 
+#: Odd factors of a word's hash by its place in the shingle.
+PLACES = mix(np.arange(1, SHINGLE + 1, dtype=np.uint64)) | _U(1)
+
+
 class WordHashes(dict):
     """64-bit hash of each word."""
 
@@ -69,8 +71,9 @@ def shingle_set(text: str, hashes: WordHashes, size: int = SHINGLE) -> np.ndarra
     width = min(size, len(words))
     h = np.full(len(words) - width + 1, width, np.uint64)
     for i in range(width):
-        h = mix(h * _U(0x9E3779B97F4A7C15) + w[i : len(words) - width + 1 + i])
-    return np.unique(h)
+        h += w[i : len(words) - width + 1 + i] * PLACES[i]
+    h = np.sort(mix(h))
+    return h[np.concatenate([[True], h[1:] != h[:-1]])]
 
 
 def signature(found: np.ndarray) -> int:
@@ -108,14 +111,21 @@ def sketch_keys(found: np.ndarray) -> np.ndarray:
     for join, segments, most in tolerances(len(found)):
         salt = _U((join + 1) * 0xD1B54A32D192ED03 % (1 << 64))
         h = mix(found + salt)
-        bits = ((h >> _U(32)) * _U(segments) >> _U(32)) << _U(BIT_SPACE) | (h & _U((1 << BIT_SPACE) - 1))
-        # parity: a bit that an even number of shingles hits is not set
-        bits, hits = np.unique(bits, return_counts=True)
-        bits = bits[hits % 2 == 1]
-        filled, first, tokens = np.unique(bits >> _U(BIT_SPACE), return_index=True, return_counts=True)
-        prints = np.bitwise_xor.reduceat(mix(bits + salt), first) if len(bits) else np.zeros(0, np.uint64)
-        own = mix(prints + filled * _U(0x9E3779B97F4A7C15) + salt)
-        own = own[np.lexsort((own, -tokens))]
+        bits = np.sort(((h >> _U(32)) * _U(segments) >> _U(32)) << _U(BIT_SPACE) | (h & _U((1 << BIT_SPACE) - 1)))
+        if (bits[1:] == bits[:-1]).any():
+            # parity: a bit that an even number of shingles hits is not set
+            bits, hits = np.unique(bits, return_counts=True)
+            bits = bits[hits % 2 == 1]
+        own = filled = np.zeros(0, np.uint64)
+        if len(bits):
+            segment = bits >> _U(BIT_SPACE)
+            first = np.flatnonzero(np.concatenate([[True], segment[1:] != segment[:-1]]))
+            prints = np.bitwise_xor.reduceat(mix(bits + salt), first)
+            filled = segment[first]
+            own = mix(prints + filled * _U(0x9E3779B97F4A7C15) + salt)
+            # the fullest segments have the smallest keys
+            tokens = np.minimum(np.diff(np.append(first, len(bits))), 255).astype(np.uint64)
+            own = np.sort((_U(255) - tokens) << _U(56) | own >> _U(8))
         if len(own) <= most:
             empty = np.setdiff1d(np.arange(segments, dtype=np.uint64), filled)
             own = np.concatenate([own, np.sort(mix(mix(empty + salt) + _U(1)))])
@@ -125,17 +135,26 @@ def sketch_keys(found: np.ndarray) -> np.ndarray:
 
 
 def _thin(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Size and signature of each row's set."""
-    hashes = WordHashes()
+    """Size, signature and keys of each row's set; no keys for a set a task has just seen."""
+    hashes, seen = WordHashes(), set()
     for batch in slices(batches, "text", SLICE_BYTES):
-        texts, sizes, names = batch.column("text"), [], []
+        texts, sizes, names, keys = batch.column("text"), [], [], []
         for i in range(batch.num_rows):
             found = shingle_set(texts[i].as_py() or "", hashes)
+            node = signature(found)
             sizes.append(len(found))
-            names.append(signature(found))
+            names.append(node)
+            new = len(found) > 0 and node not in seen
+            keys.append(sketch_keys(found) if new else np.zeros(0, np.int64))
+            if new:
+                if len(seen) >= SEEN_SETS:
+                    seen.clear()
+                seen.add(node)
+        ends = np.cumsum([0, *map(len, keys)]).astype(np.int32)
+        lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([np.zeros(0, np.int64), *keys])))
         yield pa.RecordBatch.from_arrays(
-            [batch.column("doc_id"), batch.column("print"), pa.array(sizes, pa.int64()), pa.array(names, pa.int64())],
-            names=["doc_id", "print", "n", "node"],
+            [batch.column("doc_id"), batch.column("print"), pa.array(sizes, pa.int64()), pa.array(names, pa.int64()), lists],
+            names=["doc_id", "print", "n", "node", "keys"],
         )
 
 
@@ -154,33 +173,6 @@ def _new_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, np.ndarr
                 yield node, found
 
 
-def _keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Key, node and set size of every segment the sets emit."""
-    keys, nodes, sizes, held = [], [], [], 0
-
-    def out() -> pa.RecordBatch:
-        each = [len(k) for k in keys]
-        return pa.RecordBatch.from_arrays(
-            [
-                pa.array(np.concatenate(keys)),
-                pa.array(np.repeat(np.array(nodes, np.int64), each)),
-                pa.array(np.repeat(np.array(sizes, np.int32), each)),
-            ],
-            names=["key", "node", "n"],
-        )
-
-    for node, found in _new_sets(batches):
-        keys.append(sketch_keys(found))
-        nodes.append(node)
-        sizes.append(len(found))
-        held += len(keys[-1])
-        if held >= OUT_ROWS:
-            yield out()
-            keys, nodes, sizes, held = [], [], [], 0
-    if keys:
-        yield out()
-
-
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     nodes, sets, held = [], [], 0
 
@@ -370,9 +362,9 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     printed = rows.withColumn("print", F.xxhash64("text"))
     thin = staged(
-        printed.mapInArrow(_thin, "doc_id long, print long, n long, node long"), "sets"
+        printed.mapInArrow(_thin, "doc_id long, print long, n long, node long, keys array<long>"), "sets"
     )
-    keys = rows.select("text").mapInArrow(_keys, "key long, node long, n int")
+    keys = thin.select(F.explode("keys").alias("key"), "node", F.col("n").cast("int").alias("n"))
     ordered = keys.repartition("key").sortWithinPartitions("key", "node")
     candidates = staged(
         ordered.mapInArrow(_runs, "key long, a long, b long, place long, na int, nb int"), "candidates"
@@ -380,12 +372,12 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     pairs = staged(candidates.filter(near("na", "nb")).select("a", "b").distinct(), "pairs")
     nodes = candidates.select(F.col("a").alias("node")).unionByName(candidates.select(F.col("b").alias("node")))
     # one text stands for each node
-    prints = thin.join(nodes.distinct(), "node", "left_semi").groupBy("node").agg(F.min("print").alias("print"))
+    prints = thin.drop("keys").join(nodes.distinct(), "node", "left_semi").groupBy("node").agg(F.min("print").alias("print"))
     wanted = lookup(printed.select("text", "print"), prints.select("print").distinct(), ["print"], "left_semi")
     sets = staged(wanted.select("text").mapInArrow(_sets, "node long, shingles array<long>").dropDuplicates(["node"]), "shingles")
     links = staged(verified(pairs, sets), "links")
     labels = _rest(candidates, links, components(links), sets)
-    placed = _labelled(thin.filter("n > 0"), labels, "node", "component")
+    placed = _labelled(thin.drop("keys").filter("n > 0"), labels, "node", "component")
     least = placed.groupBy("component").agg(F.min("doc_id").alias("component_id"))
     linked = placed.join(least, "component").select(
         "doc_id", F.col("n").alias("n_shingles"), "component_id", "component", "print"
