@@ -66,7 +66,8 @@ def assign(rows: DataFrame, shards: int, group: str = "group", size: str = "size
     # a shard is made of this many bins, or of a few from each task, so that bins are small beside it
     tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
     bins_per_shard = max(BINS_PER_SHARD, -(-BINS_OF_A_SHARD // tasks))
-    ordered = loads.repartition(tasks, "group").sortWithinPartitions(F.desc("load"), "group")
+    # by another hash than the aggregation's: Spark drops a like one, then may merge all groups into one task
+    ordered = loads.repartition(tasks, F.xxhash64("group")).sortWithinPartitions(F.desc("load"), "group")
     kind = dict(rows.dtypes)[group]
     schedule = _schedule_partition(shards * bins_per_shard)
     placed = staged(ordered.mapInArrow(schedule, f"group {kind}, load long, task int, bin int"), "groups")
