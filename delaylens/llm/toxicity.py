@@ -1,7 +1,8 @@
 """Toxicity by weak supervision.
 
-Voters are words and word beginnings that a bounded labelled sample ties to toxic text. A voter votes
-when a document holds its word or beginning and abstains otherwise; the label itself is one more voter that may
+Voters are words and word beginnings, each with a least share of a text's words, that a bounded labelled
+sample ties to toxic text. A voter votes when a document holds its term in that share or more, and abstains
+otherwise: a beginning that long texts hold by chance is a sign only where it is frequent. The label itself is one more voter that may
 err. A generative model with a hidden class estimates by expectation maximisation how often
 each voter fires in either class; voters that still fire together within a class are correlated
 and share one vote. A linear classifier is trained on the model's posterior labels.
@@ -23,7 +24,9 @@ from delaylens.llm.common import labelled_sample, slices
 
 WORDS = regex.compile(r"\p{L}[\p{L}\p{M}]*")
 BEGINNINGS = range(4, 9)
-VOTERS = 400
+#: Least shares of a text's words that a voter asks for; 0 is a single word.
+SHARES = (0.0, 0.005, 0.02)
+VOTERS = 600
 LEAST_DOCS, LEAST_ODDS = 6, 2.5
 ROUNDS = 40
 TIED = 0.3
@@ -38,30 +41,41 @@ def terms_of(word: str) -> list[str]:
     return [word, *(word[:n] + "*" for n in BEGINNINGS if n < len(word))]
 
 
-def document_terms(text: str) -> set[str]:
-    return {t for w in set(WORDS.findall(text.lower())) for t in terms_of(w)}
+#: A term and the place of its least share in SHARES.
+Voter = tuple[str, int]
+
+
+def document_voters(text: str) -> set[Voter]:
+    """Every voter that votes on a text."""
+    words = Counter(WORDS.findall(text.lower()))
+    times: Counter[str] = Counter()
+    for word, n in words.items():
+        for term in terms_of(word):
+            times[term] += n
+    total = words.total()
+    return {(term, i) for term, n in times.items() for i, least in enumerate(SHARES) if n >= least * total}
 
 
 @dataclass
 class Classifier:
-    terms: dict[str, int]
+    voters: list[Voter]
     weights: np.ndarray
     bias: float
 
 
-def choose_voters(found: list[set[str]], labels: np.ndarray) -> list[str]:
-    """Terms most tied to label 1, by smoothed log odds times the square root of their documents."""
+def choose_voters(found: list[set[Voter]], labels: np.ndarray) -> list[Voter]:
+    """Voters most tied to label 1, by smoothed log odds times the square root of their documents."""
     sides = [Counter(), Counter()]
-    for terms, y in zip(found, labels):
-        sides[int(y)].update(terms)
+    for voters, y in zip(found, labels):
+        sides[int(y)].update(voters)
     n = [max(int((labels == y).sum()), 1) for y in (0, 1)]
     ranked = []
-    for term, hits in sides[1].items():
+    for voter, hits in sides[1].items():
         if hits >= LEAST_DOCS:
-            odds = np.log((hits + 0.5) / n[1]) - np.log((sides[0][term] + 0.5) / n[0])
+            odds = np.log((hits + 0.5) / n[1]) - np.log((sides[0][voter] + 0.5) / n[0])
             if odds >= LEAST_ODDS:
-                ranked.append((-odds * hits**0.5, term))
-    return [term for _, term in sorted(ranked)[:VOTERS]]
+                ranked.append((-odds * hits**0.5, voter))
+    return [voter for _, voter in sorted(ranked)[:VOTERS]]
 
 
 def label_model(votes: np.ndarray, given: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -119,47 +133,53 @@ def train_linear(x: np.ndarray, target: np.ndarray, prior: float) -> tuple[np.nd
 def train(sample: list[tuple[str, int]], prior: float) -> Classifier | None:
     """Classifier from a bounded sample; ``prior`` is the share of label 1 among all labelled rows."""
     labels = np.array([y for _, y in sample], np.float64)
-    found = [document_terms(t) for t, _ in sample]
+    found = [document_voters(t) for t, _ in sample]
     voters = choose_voters(found, labels)
     if not voters:
         return None
-    terms = {t: i for i, t in enumerate(voters)}
+    places = {v: i for i, v in enumerate(voters)}
     votes = np.zeros((len(sample), len(voters)))
     for i, own in enumerate(found):
-        votes[i, [terms[t] for t in own if t in terms]] = 1
+        votes[i, [places[v] for v in own if v in places]] = 1
     posterior, _ = label_model(votes, labels)
     weights, bias = train_linear(votes, posterior, min(max(prior, 1e-3), 0.5))
-    return Classifier(terms, weights, bias)
+    return Classifier(voters, weights, bias)
 
 
-class _TermIds(dict):
+class _KnownTerms(dict):
     """The classifier's terms that a word brings."""
 
-    def __init__(self, terms: dict[str, int]) -> None:
+    def __init__(self, terms: set[str]) -> None:
         super().__init__()
         self.terms = terms
 
-    def __missing__(self, word: str) -> tuple[int, ...]:
+    def __missing__(self, word: str) -> tuple[str, ...]:
         if len(self) >= CACHE_WORDS:
             self.clear()
-        self[word] = found = tuple(self.terms[t] for t in terms_of(word) if t in self.terms)
+        self[word] = found = tuple(t for t in terms_of(word) if t in self.terms)
         return found
 
 
 def _score(model: Classifier):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids = _TermIds(model.terms)
-        back = {i: t for t, i in model.terms.items()}
+        voters: dict[str, list[tuple[float, float]]] = {}
+        for (term, i), weight in zip(model.voters, model.weights):
+            voters.setdefault(term, []).append((SHARES[i], float(weight)))
+        known = _KnownTerms(set(voters))
         for batch in slices(batches, "text", SLICE_BYTES):
-            texts, scores, voters = batch.column("text"), [], []
+            texts, scores, terms = batch.column("text"), [], []
             for i in range(batch.num_rows):
-                words = set(WORDS.findall((texts[i].as_py() or "").lower()))
-                own = sorted(set().union(*filter(None, map(ids.__getitem__, words))))
-                scores.append(model.bias + float(model.weights[own].sum()))
-                voters.append([back[j] for j in own])
+                words = Counter(WORDS.findall((texts[i].as_py() or "").lower()))
+                total, times = words.total(), {}
+                for word, n in words.items():
+                    for term in known[word]:
+                        times[term] = times.get(term, 0) + n
+                own = sorted(times)
+                scores.append(model.bias + sum(w for t in own for least, w in voters[t] if times[t] >= least * total))
+                terms.append(own)
             score = 1 / (1 + np.exp(-np.clip(np.array(scores, np.float64), -30, 30)))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("row"), pa.array(score), pa.array(voters, pa.list_(pa.string()))],
+                [batch.column("row"), pa.array(score), pa.array(terms, pa.list_(pa.string()))],
                 names=["row", "score", "terms"],
             )
 

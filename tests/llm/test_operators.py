@@ -92,7 +92,7 @@ def test_shards_are_even_and_repeat(spark):
     docs = spark.createDataFrame(rows_of(rows), SCHEMA)
     got = sharding.shard_texts(docs, 16)
     loads = [r["s"] for r in got.groupBy("shard").agg(F.sum("size").alias("s")).collect()]
-    assert len(loads) == 16 and max(loads) - min(loads) <= 0.03 * max(loads)
+    assert len(loads) == 16 and max(loads) - min(loads) <= 0.005 * max(loads)
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, sharding.shard_texts(docs, 16).collect()))
 
 
@@ -448,6 +448,25 @@ def test_toxicity_learns(spark):
     assert all((r["score"] >= 0.3) == (r["row"]["doc_id"] % 8 == 0) for r in got if r["row"]["doc_id"] >= 800)
 
 
+def test_toxicity_counts_shares(spark):
+    """A beginning that long clean texts hold once counts where it fills a share of the words."""
+    rng = np.random.default_rng(12)
+
+    def text(bad):
+        size = 40 if bad else 400
+        own = [f"t{rng.integers(300)}word" for _ in range(size)]
+        own[: 3 if bad else 1] = [f"grump{rng.integers(10**6)}face"] * (3 if bad else 1)
+        return " ".join(own)
+
+    rows = [(i, text(i % 8 == 0), int(i % 8 == 0)) for i in range(600)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, class int")
+    assert ("grump*", 2) in toxicity.document_voters(rows[0][1])
+    assert {i for t, i in toxicity.document_voters(rows[1][1]) if t == "grump*"} == {0}
+    model, prior = toxicity.fit(docs.filter("doc_id < 400"), F.col("class"))
+    got = toxicity.score(docs, model, prior, ["doc_id"]).collect()
+    assert all((r["score"] >= 0.3) == (r["row"]["doc_id"] % 8 == 0) for r in got if r["row"]["doc_id"] >= 400)
+
+
 def test_label_model_shares_correlated_votes():
     rng = np.random.default_rng(11)
     y = rng.random(4000) < 0.2
