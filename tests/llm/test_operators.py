@@ -453,11 +453,14 @@ def test_toxicity_counts_shares(spark):
     rng = np.random.default_rng(12)
 
     def text(bad):
-        size = 40 if bad else 400
-        own = [f"t{rng.integers(300)}word" for _ in range(size)]
-        own[: 3 if bad else 1] = [f"grump{rng.integers(10**6)}face"] * (3 if bad else 1)
+        own = ["word" + letters(rng.integers(300)) for _ in range(40 if bad else 400)]
+        hits = 3 if bad else 1
+        own[:hits] = ["grump" + letters(rng.integers(10**6)) for _ in range(hits)]
         return " ".join(own)
 
+    def letters(n):
+        return "".join(chr(ord("a") + int(c)) for c in str(n))
+
     rows = [(i, text(i % 8 == 0), int(i % 8 == 0)) for i in range(600)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, class int")
     assert ("grump*", 2) in toxicity.document_voters(rows[0][1])
