@@ -30,6 +30,7 @@ from delaylens.operators import (
     split,
     tuning,
 )
+from delaylens.plans import flights as flow
 from delaylens.plans import standin
 from delaylens.plans.standin import FIRST_YEAR, LAST_YEAR, ROW_KEYS, flights, readings, table
 from delaylens.session import scratch_path
@@ -173,6 +174,46 @@ def attach_airport(spark, base):
     return joined.select("event_id", "station_id", "station_call", "airport_iata")
 
 
+@query(f"""WITH {_ZONES}, {_SITES}, r AS (
+  SELECT DISTINCT user_id, ts, event_type, value, json_extract_string(props, '$.k') AS k FROM events),
+u AS (
+  SELECT airport_iata, user_id, event_type, value, TRY_CAST(k AS INTEGER) AS k, (ts AT TIME ZONE tz) AT TIME ZONE 'UTC' AS utc
+  FROM r JOIN sites ON user_id = station_id JOIN nation ON n_name = airport_iata JOIN zones ON site = n_nationkey)
+SELECT strftime(utc + INTERVAL 30 MINUTE, '%Y%m%d%H') AS weather_ymdh, airport_iata,
+       first(event_type ORDER BY utc, user_id, event_type) AS hourly_sky_conditions,
+       round(avg(k), 8) AS hourly_dry_bulb_temperature, max(value) AS hourly_precipitation,
+       round(avg(CASE WHEN event_type = 'view' THEN k END), 8) AS hourly_relative_humidity,
+       max(value) AS hourly_visibility,
+       max(CASE WHEN event_type = 'error' THEN 0 ELSE coalesce(k, 0) END) AS hourly_wind_gust_speed,
+       max(k) AS hourly_wind_speed, 0.0::DOUBLE AS daily_precipitation, 0 AS daily_snow_depth,
+       0.0::DOUBLE AS daily_snow_fall
+FROM u WHERE utc IS NOT NULL GROUP BY 1, 2""")
+def curate_weather(spark, base):
+    """The whole weather flow over all events as raw readings."""
+    k, kind = F.col("k"), F.col("event_type")
+    given = {
+        "STATION": F.col("user_id"),
+        "DATE": F.col("ts").cast("string"),
+        "HourlyDryBulbTemperature": k,
+        "HourlyPrecipitation": F.col("value").cast("string"),
+        "HourlyRelativeHumidity": F.when(kind == "view", k),
+        "HourlySkyConditions": kind,
+        "HourlyVisibility": F.col("value").cast("string"),
+        "HourlyWindGustSpeed": F.when(kind != "error", k),
+        "HourlyWindSpeed": k,
+    }
+    events = table(spark, base, "events").withColumn("k", F.get_json_object("props", "$.k"))
+    none = F.lit(None).cast("string")
+    weather = events.select(*[given.get(c, none).alias(c) for c in ("STATION", *schemas.WEATHER_NAMES)])
+    names = table(spark, base, "nation").select(F.col("n_nationkey").alias("site"), F.col("n_name").alias("iata"))
+    zones = standin.zones(spark, base).join(names, "site").select("iata", "tz")
+    rolled = flow.curate_weather(
+        weather, stations(spark, base), airports(spark, base), zones, carry=["hourly_sky_conditions"]
+    )
+    means = [c for c, f in schemas.WEATHER_AGGREGATES.items() if f == "mean"]
+    return rolled.withColumns({c: F.round(c, 8) for c in means})
+
+
 # ---------------------------------------------------------------- time
 
 

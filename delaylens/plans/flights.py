@@ -25,18 +25,20 @@ def curate_weather(
 ) -> DataFrame:
     """Raw readings to one row per airport and UTC hour.
 
-    Duplicates go before the joins add columns; readings of stations or airports
-    that are not known are dropped. ``carry`` names the other columns to keep from
-    the earliest reading, by default all. Without any, Spark can aggregate by
-    hash instead of sorting.
+    Stations get their airport and zone first, so that readings of places that
+    are not known are dropped by one small join before anything is shuffled.
+    Duplicates, compared as they were read, and the roll-up both combine on the
+    map side, so copies of one reading do not meet in one task. ``carry`` names the
+    other columns to keep from the earliest reading, by default all. Without any,
+    Spark can aggregate by hash instead of sorting.
     """
-    readings = clean.dedup(clean.project(weather, ["STATION", *schemas.WEATHER_NAMES]))
     sites = clean.dedup(bridge.station_airport(stations, airports))
-    readings = bridge.attach_airport(readings, sites)
+    sites = timeutil.attach_tz(sites, "airport_iata", zones, "inner")
+    readings = clean.project(weather, ["STATION", *schemas.WEATHER_NAMES])
+    readings = clean.dedup(bridge.attach_airport(readings, sites))
     readings = clean.rename(readings, schemas.WEATHER_NAMES)
     readings = clean.cast_readings(readings, schemas.WEATHER_TYPES)
     readings = clean.fill(readings, 0, schemas.WEATHER_ZERO_WHEN_MISSING)
-    readings = timeutil.attach_tz(readings, "airport_iata", zones, "inner")
     utc = timeutil.local_to_utc(timeutil.parse_local("local_datetime"), "tz")
     readings = clean.require(readings.withColumn("weather_utc_timestamp", utc), ["weather_utc_timestamp"]).drop("tz")
     carried = [c for c in readings.columns if c not in schemas.WEATHER_AGGREGATES and c != "airport_iata"]
@@ -117,9 +119,16 @@ def join_weather(flights: DataFrame, hourly: DataFrame) -> DataFrame:
     return lagjoin.lag_hour_join(flights, hourly, "target_dep_utc_timestamp", ["airport_iata"])
 
 
-def add_context(joined: DataFrame, holidays: DataFrame, compat_rank: bool = False) -> DataFrame:
-    """Add airport scores of the joined routes and the padded holiday flag."""
-    edges = graph.edge_weights(joined, "airport_iata", "dest_iata")
+def add_context(
+    joined: DataFrame, holidays: DataFrame, compat_rank: bool = False, last_year: int | None = None
+) -> DataFrame:
+    """Add airport scores of the joined routes and the padded holiday flag.
+
+    ``last_year`` is the held-out year: only routes of the years before it count. Without it
+    routes of all years do.
+    """
+    known = joined if last_year is None else joined.filter(F.col("year") < last_year)
+    edges = graph.edge_weights(known, "airport_iata", "dest_iata")
     ranks = graph.page_rank(edges, **({"alpha": 0.0, "dangling": "drop"} if compat_rank else {}))
     return features.holiday_flag(
         features.add_rank(joined, ranks).drop("holiday"), "fl_date", holidays, date="Date"

@@ -16,6 +16,8 @@ def main(argv: list[str] | None = None) -> None:
     p.add_argument("--first-year", type=int, default=2015)
     p.add_argument("--suffix", default="")
     p.add_argument("--compat", action="store_true", help="scores without teleport or dangling mass")
+    p.add_argument("--last-year", type=int, default=2021, help="held-out year")
+    p.add_argument("--rank-on", choices=["train", "all"], default="train", help="years whose routes are scored")
     a = p.parse_args(argv)
 
     spark = get_session("delaylens-join")
@@ -24,7 +26,8 @@ def main(argv: list[str] | None = None) -> None:
     )
     joined = io.stage(joined, f"{a.base}/flight_weather{a.suffix}", ["year"])
     holidays = io.read_delimited(spark, a.holidays, header=True).filter(f"Year >= {a.first_year}")
-    features = flow.select_features(flow.add_context(joined, holidays, a.compat))
+    last_year = a.last_year if a.rank_on == "train" else None
+    features = flow.select_features(flow.add_context(joined, holidays, a.compat, last_year))
     io.stage(features, f"{a.base}/features{a.suffix}", ["year"])
 
 

@@ -182,6 +182,26 @@ def test_jobs_end_to_end(spark, dims, tmp_path, capsys, monkeypatch):
     assert len(full_plan("RandomForest")[2]) == 16 and len(full_plan("LogisticRegression")[2]) == 48
 
 
+def test_readings_meet_stations_before_any_shuffle(spark, dims):
+    weather = weather_frame(spark, [{"STATION": "sAAA", "DATE": "2021-07-01T08:10:00"}])
+    plan = flow.curate_weather(weather, *dims, carry=[])._jdf.queryExecution().executedPlan().toString()
+    # the tree is printed from the result down: duplicates and roll-up combine above the join with the sites
+    trunk = plan[: plan.index("BroadcastHashJoin")]
+    assert trunk.count("Exchange hashpartitioning") == 2 and "SortMergeJoin" not in plan
+
+
+def test_ranks_ignore_the_held_out_year(spark):
+    def scores(later):
+        rows = [("AAA", "BBB", "2019-03-01", 2019), ("BBB", "CCC", "2020-03-01", 2020), ("CCC", "AAA", "2020-04-01", 2020),
+                *[(a, b, "2021-03-01", 2021) for a, b in later]]
+        df = spark.createDataFrame(rows, "airport_iata string, dest_iata string, fl_date string, year int")
+        holidays = spark.createDataFrame([("2021-07-04",)], "Date string")
+        found = flow.add_context(df.withColumn("holiday", F.lit(0)), holidays, last_year=2021)
+        return {(r["airport_iata"], r["fl_date"]): r["dep_rank"] for r in found.collect() if r["year"] < 2021}
+
+    assert scores([("AAA", "CCC")] * 9) == scores([("CCC", "BBB"), ("DDD", "AAA")])
+
+
 def test_split_modes(spark):
     rows = [(f"{2015 + i % 7}-03-01", "XX", str(i), "N", "AAA", "BBB", 900, 1, int(i % 4 == 0)) for i in range(700)]
     df = spark.createDataFrame(
