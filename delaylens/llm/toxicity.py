@@ -45,13 +45,22 @@ def terms_of(word: str) -> list[str]:
 Voter = tuple[str, int]
 
 
-def document_voters(text: str) -> set[Voter]:
-    """Every voter that votes on a text."""
+def frequent_terms(texts: list[str], least: int) -> set[str]:
+    """Terms of at least ``least`` of the texts."""
+    docs: Counter[str] = Counter()
+    for text in texts:
+        docs.update({t for w in set(WORDS.findall(text.lower())) for t in terms_of(w)})
+    return {t for t, n in docs.items() if n >= least}
+
+
+def document_voters(text: str, known: set[str] | None = None) -> set[Voter]:
+    """Every voter that votes on a text, or only those of ``known`` terms."""
     words = Counter(WORDS.findall(text.lower()))
     times: Counter[str] = Counter()
     for word, n in words.items():
         for term in terms_of(word):
-            times[term] += n
+            if known is None or term in known:
+                times[term] += n
     total = words.total()
     return {(term, i) for term, n in times.items() for i, least in enumerate(SHARES) if n >= least * total}
 
@@ -133,7 +142,9 @@ def train_linear(x: np.ndarray, target: np.ndarray, prior: float) -> tuple[np.nd
 def train(sample: list[tuple[str, int]], prior: float) -> Classifier | None:
     """Classifier from a bounded sample; ``prior`` is the share of label 1 among all labelled rows."""
     labels = np.array([y for _, y in sample], np.float64)
-    found = [document_voters(t) for t, _ in sample]
+    # no other term can be chosen
+    known = frequent_terms([t for t, y in sample if y == 1], LEAST_DOCS)
+    found = [document_voters(t, known) for t, _ in sample]
     voters = choose_voters(found, labels)
     if not voters:
         return None
