@@ -69,11 +69,17 @@ def random_forest(label: str = "delay_label", features: str = "pca_features", **
     return RandomForestClassifier(labelCol=label, featuresCol=features, **{**settings, **params})
 
 
+def boosted_stages(features: list[str]) -> list[PipelineStage]:
+    """Assemble, with low-cardinality slots as categories."""
+    assembler = VectorAssembler(inputCols=features, outputCol="raw_features")
+    return [assembler, VectorIndexer(inputCol="raw_features", outputCol="features", handleInvalid="keep")]
+
+
+def boosted_trees(label: str = "delay_label", features: str = "features", **params) -> GBTRegressor:
+    settings = {"maxDepth": 5, "maxIter": 10, "seed": 7}
+    return GBTRegressor(labelCol=label, featuresCol=features, **{**settings, **params})
+
+
 def boosted(features: list[str], label: str = "delay_label", **params) -> Pipeline:
     """Boosted trees regressing the 0/1 label, low-cardinality slots as categories."""
-    gbt = GBTRegressor(
-        featuresCol="features", labelCol=label, **{"maxDepth": 5, "maxIter": 10, "seed": 7, **params}
-    )
-    assembler = VectorAssembler(inputCols=features, outputCol="raw_features")
-    indexer = VectorIndexer(inputCol="raw_features", outputCol="features", handleInvalid="keep")
-    return Pipeline(stages=[assembler, indexer, gbt])
+    return Pipeline(stages=[*boosted_stages(features), boosted_trees(label, **params)])

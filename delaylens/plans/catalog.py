@@ -982,33 +982,35 @@ def pca_lr_predictions(spark, base):
 def rf_predictions(spark, base):
     train, test = model_tables(spark, base)
     stages = models.with_pca(models.matrix_stages(_CATEGORICAL, _scaled(_NUMERIC)))
-    fitted = models.fit_cached(stages, models.random_forest(numTrees=20), train)
+    fitted = models.fit_cached(stages, models.random_forest(), train)
     return fitted.transform(test).select(*_SHOWN)
 
 
 @query()
 def gbt_predictions(spark, base):
     train, test = model_tables(spark, base)
-    scores = models.boosted(_PLAIN, maxDepth=2).fit(train).transform(test)
-    return evaluate.round_prediction(scores).select(*_SHOWN, "pred_adjust")
+    fitted = models.fit_cached(models.boosted_stages(_PLAIN), models.boosted_trees(maxDepth=6, maxIter=50), train)
+    return evaluate.round_prediction(fitted.transform(test)).select(*_SHOWN, "pred_adjust")
 
 
-def _lr_grid():
-    lr = models.LogisticRegression(featuresCol="features", labelCol="delay_label", maxIter=5)
-    return lr, tuning.grid({lr.regParam: [0.1, 0.01], lr.elasticNetParam: [0.0, 0.5]})
+def _tuned_logistic():
+    """Estimator, its full grid and its feature stages, as in ``jobs/learn.py``."""
+    lr = models.LogisticRegression(featuresCol="pca_features", labelCol="delay_label")
+    stages = models.with_pca(models.matrix_stages(_CATEGORICAL, _scaled(_NUMERIC)))
+    return lr, tuning.logistic_grid(lr), Pipeline(stages=stages)
 
 
 @query()
 def fold_cv_scores(spark, base):
     train, _ = model_tables(spark, base)
-    lr, maps = _lr_grid()
+    lr, maps, stages = _tuned_logistic()
     found = tuning.fold_cv(
         lr,
         maps,
         BinaryClassificationEvaluator(labelCol="delay_label"),
         train,
         split.rolling_splits("year", FIRST_YEAR, LAST_YEAR - 1),
-        features=Pipeline(stages=models.matrix_stages(_CATEGORICAL, _scaled(_NUMERIC))),
+        features=stages,
     )
     return found.scores
 
@@ -1016,14 +1018,14 @@ def fold_cv_scores(spark, base):
 @query()
 def fold_cv_average(spark, base):
     train, _ = model_tables(spark, base)
-    gbt = models.GBTRegressor(featuresCol="features", labelCol="delay_label", maxIter=3, seed=7)
+    gbt = models.boosted_trees()
     found = tuning.fold_cv(
         gbt,
-        tuning.grid({gbt.maxDepth: [2, 5]}),
+        tuning.boosted_grid(gbt),
         RegressionEvaluator(labelCol="delay_label", metricName="rmse"),
         split.random_folds(train, 3, ROW_KEYS),
         split.random_splits("fold", 3),
-        features=Pipeline(stages=[VectorAssembler(inputCols=_PLAIN, outputCol="features")]),
+        features=Pipeline(stages=models.boosted_stages(_PLAIN)),
     )
     return found.average()
 
@@ -1031,7 +1033,7 @@ def fold_cv_average(spark, base):
 @query()
 def tuned_predictions(spark, base):
     train, test = model_tables(spark, base)
-    lr, maps = _lr_grid()
+    lr, maps, stages = _tuned_logistic()
     model, _ = tuning.tune_then_refit(
         lr,
         maps,
@@ -1040,7 +1042,7 @@ def tuned_predictions(spark, base):
         split.yearly_splits("year", FIRST_YEAR, LAST_YEAR - 1),
         ROW_KEYS,
         sample=0.5,
-        features=Pipeline(stages=models.matrix_stages(_CATEGORICAL, _scaled(_NUMERIC))),
+        features=stages,
     )
     return model.transform(test).select(*_SHOWN)
 

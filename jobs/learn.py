@@ -7,7 +7,6 @@ import json
 
 from pyspark.ml import Pipeline
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, RegressionEvaluator
-from pyspark.ml.feature import VectorAssembler, VectorIndexer
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
@@ -24,30 +23,15 @@ FLAGS = ["quarter", "month", "day_of_week", "is_holiday", *schemas.SEASONS, *sch
 def plan(name: str):
     """Feature stages, estimator, parameter grid, evaluator and score column of a model."""
     if name == "BoostedTrees":
-        stages = [
-            VectorAssembler(inputCols=FLAGS + NUMERIC, outputCol="raw_features"),
-            VectorIndexer(inputCol="raw_features", outputCol="features", handleInvalid="keep"),
-        ]
-        gbt = models.GBTRegressor(featuresCol="features", labelCol="delay_label", seed=7)
-        grid = tuning.grid({gbt.maxDepth: [2, 5], gbt.maxIter: [10, 100]})
-        return stages, gbt, grid, RegressionEvaluator(labelCol="delay_label", metricName="rmse")
+        stages = models.boosted_stages(FLAGS + NUMERIC)
+        gbt = models.boosted_trees()
+        return stages, gbt, tuning.boosted_grid(gbt), RegressionEvaluator(labelCol="delay_label", metricName="rmse")
     stages = models.with_pca(models.matrix_stages(CATEGORICAL, NUMERIC))
     if name == "RandomForest":
         rf = models.random_forest()
-        grid = tuning.grid(
-            {
-                rf.bootstrap: [True, False],
-                rf.maxDepth: [5, 20],
-                rf.featureSubsetStrategy: ["auto", "sqrt"],
-                rf.numTrees: [20, 40],
-            }
-        )
-        return stages, rf, grid, BinaryClassificationEvaluator(labelCol="delay_label")
+        return stages, rf, tuning.forest_grid(rf), BinaryClassificationEvaluator(labelCol="delay_label")
     lr = models.LogisticRegression(featuresCol="pca_features", labelCol="delay_label")
-    grid = tuning.grid(
-        {lr.regParam: [2.0, 1.0, 0.1, 0.01], lr.maxIter: [1, 5, 10], lr.elasticNetParam: [0.0, 0.5, 0.8, 1.0]}
-    )
-    return stages, lr, grid, BinaryClassificationEvaluator(labelCol="delay_label")
+    return stages, lr, tuning.logistic_grid(lr), BinaryClassificationEvaluator(labelCol="delay_label")
 
 
 def main(argv: list[str] | None = None) -> None:
