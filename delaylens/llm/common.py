@@ -54,8 +54,10 @@ def labelled_sample(
     """Whole texts and classes of a bounded sample of ``rows`` (doc_id, text, class).
 
     Of each class the rows with the smallest hashed ids are taken, at most
-    ``per_class`` rows and ``class_bytes`` bytes, in that order. Rows without a
-    class or an id are left out. The choice depends on the ids alone.
+    ``per_class`` rows and ``class_bytes`` bytes, in that order; a text that does not
+    fit what is left of the bytes is passed over. Rows without a class or an id are
+    left out, and a class has none if each of its texts is larger than ``class_bytes``.
+    The choice depends on the ids and sizes alone.
     """
     thin = staged(
         rows.filter(F.col("class").isNotNull() & F.col("doc_id").isNotNull()).select(
@@ -67,14 +69,23 @@ def labelled_sample(
         "sample",
     )
     wanted: list[tuple[int, object]] = []
+    order = ["h", "doc_id", "n"]
     for (kind,) in thin.select("class").distinct().orderBy("class").collect():
-        room = class_bytes
-        found = thin.filter(F.col("class") == F.lit(kind)).orderBy("h", "doc_id", "n").limit(per_class)
-        for r in found.collect():
-            room -= r["n"]
-            if room < 0:
+        room, left = class_bytes, per_class
+        own = thin.filter(F.col("class") == F.lit(kind))
+        while left:
+            # what does not fit now never will; the first row always fits
+            found = own.filter(F.col("n") <= room).orderBy(*order).limit(left).collect()
+            asked = left
+            for r in found:
+                if r["n"] <= room:
+                    room -= r["n"]
+                    left -= 1
+                    wanted.append((r["doc_id"], r["class"]))
+            if len(found) < asked:
                 break
-            wanted.append((r["doc_id"], r["class"]))
+            last = F.struct(*[F.lit(found[-1][c]).cast(thin.schema[c].dataType).alias(c) for c in order])
+            own = own.filter(F.struct(*order) > last)
     if not wanted:
         return []
     picked = rows.sparkSession.createDataFrame(wanted, thin.select("doc_id", "class").schema).distinct()
