@@ -259,6 +259,57 @@ def hhmm_to_utc(spark, base):
     )
 
 
+# The other times of a stand-in flight, spread over the day so that many roll over.
+_TIMES = {
+    "actual_dep_time": "CASE WHEN actual_dep_time IS NOT NULL THEN (l_partkey + 5 * l_linenumber) % 24 * 100 + l_linenumber END",
+    "wheels_off": "CASE WHEN l_linenumber <> 3 THEN (l_partkey + 5 * l_linenumber + 1) % 24 * 100 + 10 END",
+    "wheels_on": "CASE WHEN l_linenumber <> 4 THEN (l_partkey + l_suppkey) % 24 * 100 + 15 END",
+    "target_arr_time": "(l_partkey + l_suppkey + 1) % 24 * 100 + 30",
+    "actual_arr_time": "CASE WHEN diverted = 0 THEN (l_partkey + l_suppkey + 2) % 25 * 100 END",
+    "dep_delay": "CASE WHEN l_linenumber <> 5 THEN (dep_delay - 30) * 30 END",
+}
+
+
+def _after_sql(c: str, before: str) -> str:
+    """``c`` on the first day on which it is not before ``before``."""
+    return f"CASE WHEN {c} < {before} THEN {c} + to_days(CAST(ceil((epoch({before}) - epoch({c})) / 86400) AS INTEGER)) ELSE {c} END AS {c}"
+
+
+@query(f"""WITH {_ZONES}, {_FLIGHTS}, given AS (
+  SELECT flights.* EXCLUDE (actual_dep_time, dep_delay), {', '.join(f'{x} AS {c}' for c, x in _TIMES.items())},
+         o.tz AS tz, d.tz AS dest_tz
+  FROM flights LEFT JOIN zones o ON airport_iata = o.site LEFT JOIN zones d ON dest_iata = d.site),
+utc AS (
+  SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, dep_delay,
+         {', '.join(f"CAST({_utc_sql(t, 'dest_tz' if dest else 'tz')} AS TIMESTAMP) AS {u}" for t, u, dest in flow.FLIGHT_TIMES)}
+  FROM given),
+expected AS (
+  SELECT *, target_dep_utc_timestamp + to_minutes(CAST(coalesce(dep_delay, 0) AS INTEGER)) + INTERVAL 12 HOUR AS latest FROM utc),
+dep AS (
+  SELECT * REPLACE (CASE WHEN latest IS NULL THEN actual_dep_utc_timestamp
+                         ELSE actual_dep_utc_timestamp
+                              + to_days(CAST(floor((epoch(latest) - epoch(actual_dep_utc_timestamp)) / 86400) AS INTEGER))
+                    END AS actual_dep_utc_timestamp) FROM expected),
+off AS (SELECT * REPLACE ({_after_sql('wheels_off_utc_timestamp', 'actual_dep_utc_timestamp')}) FROM dep),
+landed AS (
+  SELECT * REPLACE ({_after_sql('wheels_on_utc_timestamp', 'coalesce(wheels_off_utc_timestamp, actual_dep_utc_timestamp)')}) FROM off),
+arrived AS (
+  SELECT * REPLACE (
+    {_after_sql('target_arr_utc_timestamp', 'target_dep_utc_timestamp')},
+    {_after_sql('actual_arr_utc_timestamp', 'coalesce(wheels_on_utc_timestamp, wheels_off_utc_timestamp, actual_dep_utc_timestamp)')})
+  FROM landed)
+SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, {', '.join(f'CAST({u} AS VARCHAR) AS {u}' for _, u, _ in flow.FLIGHT_TIMES)}
+FROM arrived""")
+def flight_times(spark, base):
+    zones = standin.zones(spark, base)
+    given = flights(spark, base)
+    given = given.withColumns({c: F.expr(x) for c, x in _TIMES.items()})
+    df = timeutil.attach_tz(given, "airport_iata", zones, "left", zone_key="site")
+    df = timeutil.attach_tz(df, "dest_iata", zones, "left", zone_key="site", out="dest_tz")
+    df = flow.flight_times(df)
+    return df.select(*ROW_KEYS[:4], *[F.col(u).cast("string").alias(u) for _, u, _ in flow.FLIGHT_TIMES])
+
+
 @query(f"""WITH {_FLIGHTS}, c AS (
   SELECT CASE WHEN target_dep_time = 2400 THEN 2359 ELSE target_dep_time END AS hhmm FROM flights)
 SELECT hhmm, CAST(hhmm // 100 AS INTEGER) AS hour, count(*) AS n FROM c GROUP BY ALL""")
@@ -931,14 +982,18 @@ _NUMERIC = ["l_quantity", "l_discount", "l_tax", "o_totalprice"]
 _PLAIN = ["is_holiday", *schemas.SEASONS, *schemas.DAY_PARTS, *[c + "_scaled" for c in _NUMERIC]]
 
 
-def model_tables(spark: SparkSession, base: str) -> tuple[DataFrame, DataFrame]:
-    """Scaled training years and the held-out year, materialised once."""
+def model_rows(spark: SparkSession, base: str) -> DataFrame:
+    """Rows of all years with the model columns, materialised once."""
     df = features.holiday_flag(dated(spark, base), "fl_date", standin.holidays(spark))
     df = features.seasons(df, "month")
     df = features.day_parts(df.withColumn("hour", timeutil.hhmm_hour(timeutil.clamp_hhmm("target_dep_time"))), "hour")
     wanted = [*_CATEGORICAL, *schemas.DAY_PARTS, *_NUMERIC]
-    df = io.stage(df.select(*ROW_KEYS, "year", *wanted, "delay_label"), scratch_path(spark, "model-table"))
-    train, test = split.holdout(df, "year", LAST_YEAR)
+    return io.stage(df.select(*ROW_KEYS, "year", *wanted, "delay_label"), scratch_path(spark, "model-table"))
+
+
+def model_tables(spark: SparkSession, base: str) -> tuple[DataFrame, DataFrame]:
+    """Scaled training years and the held-out year."""
+    train, test = split.holdout(model_rows(spark, base), "year", LAST_YEAR)
     train = sampling.undersample(train, "delay_label", 0, 1.0, ROW_KEYS)
     return tuple(features.zscore(train, [train, test], _NUMERIC))
 
@@ -952,15 +1007,19 @@ _SHOWN = [*ROW_KEYS[:4], "delay_label", "prediction"]
 
 @query()
 def pca_scores(spark, base):
-    train, _ = model_tables(spark, base)
-    scores, _ = features.pca(train, _PLAIN, k=5)
+    df = model_rows(spark, base)
+    (df,) = features.zscore(df, [df], _NUMERIC)
+    scores, _ = features.pca(df, _PLAIN, k=5)
     return scores.select(*ROW_KEYS[:4], vector_to_array("pca_features").alias("pca_features"))
 
 
 @query()
 def pca_embeddings(spark, base):
     df = table(spark, base, "embeddings")
-    cols = [f"e{i}" for i in range(64)]
+    least, width = df.filter(F.col("embedding").isNotNull()).agg(F.min(F.size("embedding")), F.max(F.size("embedding"))).first()
+    if least != width:
+        raise ValueError(f"embeddings are {least} to {width} wide")
+    cols = [f"e{i}" for i in range(width or 0)]
     wide = df.select("vec_id", *[F.get("embedding", F.lit(i)).cast("double").alias(c) for i, c in enumerate(cols)])
     scores, _ = features.pca(wide, cols, k=5)
     return scores.select("vec_id", vector_to_array("pca_features").alias("pca_features"))
