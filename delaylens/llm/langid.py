@@ -117,7 +117,8 @@ def viterbi(scores: np.ndarray, lengths: np.ndarray, switch: float) -> np.ndarra
     order = np.argsort(-lengths, kind="stable")
     sizes = lengths[order]
     starts = (np.cumsum(lengths) - lengths)[order]
-    back = np.zeros(scores.shape, np.int8)
+    kind = np.min_scalar_type(scores.shape[1])
+    back = np.zeros(scores.shape, kind)
     best = scores[starts].astype(np.float64)
     running = np.searchsorted(-sizes, -np.arange(sizes[0] + 1), "left")
     rows = np.arange(len(sizes))
@@ -130,7 +131,7 @@ def viterbi(scores: np.ndarray, lengths: np.ndarray, switch: float) -> np.ndarra
         at = starts[:n] + t
         back[at] = np.where(stay, labels, top[:, None])
         best[:n] = np.where(stay, best[:n], moved[:, None]) + scores[at]
-    path = np.zeros(len(scores), np.int8)
+    path = np.zeros(len(scores), kind)
     state = best.argmax(axis=1)
     path[starts + sizes - 1] = state
     for t in range(int(sizes[0]) - 1, 0, -1):
