@@ -57,19 +57,27 @@ def labelled_sample(
     ``per_class`` rows and ``class_bytes`` bytes, in that order; a text that does not
     fit what is left of the bytes is passed over. Rows without a class or an id are
     left out, and a class has none if each of its texts is larger than ``class_bytes``.
-    The choice depends on the ids and sizes alone.
+    The choice depends on the ids and texts alone. Rows that repeat id, class and text are
+    counted, and their text comes back once, so no more than the sample reaches the driver.
     """
+    text = F.coalesce("text", F.lit(""))
+    known = rows.filter(F.col("class").isNotNull() & F.col("doc_id").isNotNull()).select(
+        "doc_id", "class", text.alias("text"), F.xxhash64(text).alias("t")
+    )
     thin = staged(
-        rows.filter(F.col("class").isNotNull() & F.col("doc_id").isNotNull()).select(
+        known.select(
             "doc_id",
             "class",
-            F.octet_length(F.coalesce("text", F.lit(""))).cast("long").alias("n"),
+            F.octet_length("text").cast("long").alias("n"),
             F.xxhash64("doc_id", F.lit(seed)).alias("h"),
-        ),
+            "t",
+        )
+        .groupBy("doc_id", "class", "n", "h", "t")
+        .agg(F.count("*").alias("copies")),
         "sample",
     )
-    wanted: list[tuple[int, object]] = []
-    order = ["h", "doc_id", "n"]
+    wanted: dict[tuple[object, object, int], int] = {}
+    order = ["h", "doc_id", "n", "t"]
     for (kind,) in thin.select("class").distinct().orderBy("class").collect():
         room, left = class_bytes, per_class
         own = thin.filter(F.col("class") == F.lit(kind))
@@ -78,20 +86,22 @@ def labelled_sample(
             found = own.filter(F.col("n") <= room).orderBy(*order).limit(left).collect()
             asked = left
             for r in found:
-                if r["n"] <= room:
-                    room -= r["n"]
-                    left -= 1
-                    wanted.append((r["doc_id"], r["class"]))
+                taken = min(r["copies"], left, room // r["n"] if r["n"] else left)
+                if taken:
+                    room -= taken * r["n"]
+                    left -= taken
+                    wanted[r["doc_id"], r["class"], r["t"]] = taken
             if len(found) < asked:
                 break
             last = F.struct(*[F.lit(found[-1][c]).cast(thin.schema[c].dataType).alias(c) for c in order])
             own = own.filter(F.struct(*order) > last)
     if not wanted:
         return []
-    picked = rows.sparkSession.createDataFrame(wanted, thin.select("doc_id", "class").schema).distinct()
-    texts = rows.select("doc_id", "text", "class").join(F.broadcast(picked), ["doc_id", "class"], "left_semi")
-    found = sorted((r["doc_id"], r["class"], r["text"] or "") for r in texts.collect())
-    return [(text, kind) for _, kind, text in found]
+    key = ["doc_id", "class", "t"]
+    picked = rows.sparkSession.createDataFrame(list(wanted), thin.select(*key).schema)
+    texts = known.join(F.broadcast(picked), key, "left_semi").groupBy(*key).agg(F.first("text").alias("text"))
+    found = sorted((r["doc_id"], r["class"], r["text"], r["t"]) for r in texts.collect())
+    return [(text, kind) for i, kind, text, t in found for _ in range(wanted[i, kind, t])]
 
 
 def with_block(df: DataFrame, name: str = "_block") -> DataFrame:

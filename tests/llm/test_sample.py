@@ -46,3 +46,16 @@ def test_language_with_a_large_first_text_is_learned(spark, in_order):
     texts[in_order[0]] = (french * 100, "fr")
     docs = table(spark, texts).withColumnRenamed("class", "lang")
     assert langid.fit(docs, F.col("lang"), class_bytes=len(french) * 50).languages == ["en", "fr"]
+
+
+def test_sample_holds_its_bound_where_ids_repeat(spark, in_order):
+    """One id with a third of the rows, as copies of one text and as different texts."""
+    first, second, *rest = in_order
+    rows = [(first, f"{n:03d}" + "x" * 7, "a") for n in range(30)] + [(second, "y" * 10, "a")] * 30
+    rows += [(i, "z" * 10, "a") for i in rest[:30]]
+    df = spark.createDataFrame(rows, "doc_id long, text string, class string")
+    for per_class, class_bytes in ((12, 10_000), (100, 95), (40, 10_000), (1000, 10_000)):
+        got = labelled_sample(df.repartition(3), per_class, class_bytes, SEED)
+        assert len(got) == min(per_class, class_bytes // 10, 90)
+        assert sum(text.startswith("y") for text, _ in got) == min(30, max(0, len(got) - 30))
+        assert sum(text[0].isdigit() for text, _ in got) == min(30, len(got))
