@@ -15,12 +15,9 @@ from delaylens.llm import exact, jaccard, langid, mixing, packing
 from delaylens.llm.common import new_folder, table, text_bytes
 from delaylens.llm.queries import END_ID, MOST_COPIES, WEIGHTS, WINDOW, tokenizer_path
 
-#: A document stays if its language holds this much of it, as surely.
-LEAST_LANGUAGE = 0.5
-
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep documents in one language: at least ``LEAST_LANGUAGE``, learned from docs with a ``lang``.
+    """Keep documents whose language is known, be it one or several, learned from docs with a ``lang``.
 
     Null texts and texts without a letter go. Where no document has a ``lang``, all others stay.
     """
@@ -28,8 +25,7 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     if model is None:
         return docs.filter(F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)))
     found = langid.label(docs, model, docs.columns, spans=False)
-    kept = (F.col("lang_pred") != langid.UNKNOWN) & (F.col("score") >= LEAST_LANGUAGE)
-    return found.filter(kept).select("row.*")
+    return found.filter(F.col("lang_pred") != langid.UNKNOWN).select("row.*")
 
 
 def _first_of(docs: DataFrame, key: Column, kept: DataFrame) -> DataFrame:
