@@ -14,10 +14,11 @@ of queries, and the best of all blocks are merged.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
 from delaylens.llm.common import staged
@@ -149,7 +150,7 @@ def _search(codes: Codes, k: int):
             return schema.empty_table()
         ids, x = left.column("vec_id").to_numpy(), _matrix(left.column("v"))
         # rows that repeat id and vector count once
-        whole = np.ascontiguousarray(np.column_stack([ids.astype(np.float64), x]))
+        whole = np.ascontiguousarray(np.column_stack([ids, x.view(np.int64)]))
         first = np.sort(np.unique(whole.view(f"V{whole.shape[1] * 8}").ravel(), return_index=True)[1])
         ids, x = ids[first], x[first]
         index = MultiIndex(codes.of(x, False), codes.radius)
@@ -177,23 +178,27 @@ def search(vectors: DataFrame, is_query: Column, k: int, vec_id: str = "vec_id",
     """The ``k`` largest inner products of each query row (``is_query`` over ``vec_id``) with all other rows.
 
     Returns query_id, rank, vec_id, score; ties go to the smaller vec_id. A row never finds rows of its own
-    id. Null, zero or non-finite vectors, vectors without an id and vectors of another width than the most
-    frequent (the smaller among equals) take no part; rows that repeat id and vector count once; two
-    vectors under one query id are asked one by one; an empty table gives no rows.
+    id. Null, zero or non-finite vectors and vectors without an id take no part; vectors of each width are
+    searched among their own; rows that repeat id and vector count once; two vectors under one query id are
+    asked one by one; an empty table gives no rows.
     """
     spark = vectors.sparkSession
     out = "query_id long, rank int, vec_id long, score double"
     rows = staged(valid(vectors, vec_id, vector), "vectors")
     norm = F.sqrt(F.aggregate("v", F.lit(0.0), lambda s, c: s + c * c))
     widths = rows.groupBy(F.size("v").alias("width")).agg(F.count("*").alias("n"), F.max(norm).alias("longest"))
-    widest = widths.orderBy(F.desc("n"), "width").first()
-    if widest is None:
+    found = [_among(rows.filter(F.size("v") == w["width"]), w, is_query, k) for w in widths.filter("n > 1").orderBy("width").collect()]
+    if not found:
         return spark.createDataFrame([], out)
-    rows = rows.filter(F.size("v") == widest["width"])
+    return reduce(DataFrame.unionAll, found)
+
+
+def _among(rows: DataFrame, size: Row, is_query: Column, k: int) -> DataFrame:
+    """``search`` among ``rows`` of one width; ``size`` has their number and the longest norm."""
     sample = rows.orderBy(F.xxhash64("vec_id"), "vec_id").limit(SAMPLE).select("v").collect()
-    codes = fit(np.array([r["v"] for r in sample]), widest["longest"], widest["n"], k)
+    codes = fit(np.array([r["v"] for r in sample]), size["longest"], size["n"], k)
     queries = rows.filter(is_query).dropDuplicates(["vec_id", "v"])
-    row_blocks = -(-widest["n"] // ROWS_BLOCK)
+    row_blocks = -(-size["n"] // ROWS_BLOCK)
     query_blocks = max(1, -(-queries.count() // QUERY_BLOCK))
     base = rows.select(
         "vec_id",
