@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from delaylens.llm import exact, hashing, jaccard, langid, mixing, packing, quality, sharding, toxicity, warc
+from delaylens.llm import addressable, alignment, exact, hashing, jaccard, langid, mixing, packing, quality, sharding, toxicity, warc
 from delaylens.llm.common import fold_of, new_folder, table
 
 SHARDS = 16
@@ -135,10 +135,10 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("row.doc_id", "row.held_out", "score", (F.col("score") >= 0.3).cast("int").alias("predicted"), "terms")
 
 
-def tokenizer_path() -> str:
+def tokenizer_path(name: str = TOKENIZER) -> str:
     import public_tokenizers
 
-    return public_tokenizers.path(TOKENIZER)
+    return public_tokenizers.path(name)
 
 
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -149,6 +149,21 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(flat, ["doc_id", "start", "ids_crc32"], WINDOW)
 
 
+def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of two tokenizers aligned on the bytes of all documents."""
+    docs = table(spark, sf_dir, "documents")
+    paths = tokenizer_path("byte_bpe_50k.json"), tokenizer_path("piece_bpe_32k.model")
+    found = alignment.align(docs, F.col("doc_id").cast("long"), *paths)
+    return found.withColumnRenamed("row", "doc_id")
+
+
+def op13_addressable(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token ids of all documents written as directly addressable codes and read back."""
+    docs = table(spark, sf_dir, "documents")
+    files = addressable.write(docs, new_folder(spark, "codes"), tokenizer_path("byte_bpe_50k.json"))
+    return addressable.read(files).withColumnRenamed("key", "doc_id")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sharding": op1_sharding,
     "op2_mixing": op2_mixing,
@@ -160,6 +175,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_hashing": op8_hashing,
     "op9_toxicity": op9_toxicity,
     "op10_packing": op10_packing,
+    "op12_alignment": op12_alignment,
+    "op13_addressable": op13_addressable,
 }
 
 ORACLES: dict[str, str] = {"op4_exact": OP4_SQL, "op5_warc": OP5_SQL}
