@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from delaylens.llm import addressable, alignment, exact, hashing, jaccard, langid, mixing, packing, quality, sharding, toxicity, warc
+from delaylens.llm import addressable, alignment, collocations, exact, hashing, jaccard, langid, mixing, packing, quality, sharding, toxicity, warc
 from delaylens.llm.common import fold_of, new_folder, table
 
 SHARDS = 16
@@ -149,6 +149,52 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(flat, ["doc_id", "start", "ids_crc32"], WINDOW)
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Phrases of two and three words of all documents, the first 2000 of each language."""
+    return collocations.mine(table(spark, sf_dir, "documents"))
+
+
+OP11_SQL = """
+    WITH d AS (
+        SELECT coalesce(lang, 'und') AS lang,
+            translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t
+        FROM documents
+    ), p AS (
+        SELECT lang, unnest(regexp_split_to_array(t, '[.,;:!?\\x0A-\\x0D]')) AS piece FROM d
+    ), w AS (
+        SELECT lang, regexp_extract_all(piece, '[^\\x20\\x09]+') AS w FROM p
+    ), g AS (
+        SELECT lang, m, unnest(list_transform(range(1, len(w) - m + 2), lambda i: array_to_string(w[i:i + m - 1], ' '))) AS phrase
+        FROM w, (VALUES (1), (2), (3)) AS sizes(m)
+    ), f AS (
+        SELECT lang, m, phrase, count(*) AS f FROM g GROUP BY lang, m, phrase
+    ), n AS (
+        SELECT lang, sum(f)::BIGINT AS n FROM f WHERE m = 1 GROUP BY lang
+    ), c AS (
+        SELECT lang, m, phrase, f AS a, string_split(phrase, ' ') AS w FROM f WHERE m > 1 AND f >= 10
+    ), k AS (
+        SELECT lang, m, phrase, a, w, unnest(range(1, m)) AS k FROM c
+    ), s AS (
+        SELECT k.lang, k.phrase, k.m, k.a, k.k, l.f AS l, r.f AS r,
+            ((1000000::HUGEINT * k.a * k.a) // (l.f::HUGEINT * r.f))::BIGINT AS score
+        FROM k
+        JOIN f AS l ON l.lang = k.lang AND l.phrase = array_to_string(k.w[1:k.k], ' ')
+        JOIN f AS r ON r.lang = k.lang AND r.phrase = array_to_string(k.w[k.k + 1:], ' ')
+    ), b AS (
+        SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1
+    ), i AS (
+        SELECT lang, a, unnest([array_to_string(w[1:2], ' '), array_to_string(w[2:3], ' ')]) AS phrase FROM c WHERE m = 3
+    ), x AS (
+        SELECT DISTINCT c.lang, c.phrase FROM c JOIN i ON i.lang = c.lang AND i.phrase = c.phrase AND 100 * i.a >= 50 * c.a
+    ), o AS (
+        SELECT b.lang, b.phrase, b.a, b.l, b.r, n.n, b.score,
+            row_number() OVER (PARTITION BY b.lang ORDER BY b.score DESC, b.a DESC, b.phrase) AS rank
+        FROM b JOIN n ON n.lang = b.lang ANTI JOIN x ON x.lang = b.lang AND x.phrase = b.phrase
+    )
+    SELECT lang, rank, phrase, a, l, r, n, score FROM o WHERE rank <= 2000
+"""
+
+
 def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens of two tokenizers aligned on the bytes of all documents."""
     docs = table(spark, sf_dir, "documents")
@@ -175,8 +221,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_hashing": op8_hashing,
     "op9_toxicity": op9_toxicity,
     "op10_packing": op10_packing,
+    "op11_collocations": op11_collocations,
     "op12_alignment": op12_alignment,
     "op13_addressable": op13_addressable,
 }
 
-ORACLES: dict[str, str] = {"op4_exact": OP4_SQL, "op5_warc": OP5_SQL}
+ORACLES: dict[str, str] = {"op4_exact": OP4_SQL, "op5_warc": OP5_SQL, "op11_collocations": OP11_SQL}
