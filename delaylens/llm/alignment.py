@@ -21,21 +21,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from delaylens.llm.common import slices, staged
-from delaylens.llm.tokens import text_ids
+from delaylens.llm.tokens import byte_letters, text_ids
 
 BLOCK_BYTES = 6 << 20
 B_BITS = 32
 SPACE_MARK = "▁"
 
 
-def byte_letters() -> dict[str, int]:
-    """The letter that stands for each byte in a byte-level vocabulary: itself if printable, else the next from 256."""
-    printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
-    letters = {chr(b): b for b in printable}
-    others = (b for b in range(256) if b not in printable)
-    return letters | {chr(256 + i): b for i, b in enumerate(others)}
-
-
 def decimal_forms(n: int, ends: str) -> pa.Array:
     """``0,``, ``1,``, ... and the same for each of the other ``ends``."""
     return pa.array([f"{i}{e}" for e in ends for i in range(n)], pa.large_string())

@@ -11,23 +11,17 @@ each length and joins them to their place in the pattern.
 
 from __future__ import annotations
 
-import re
 import zlib
 from collections.abc import Iterator
 
-import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from delaylens.llm.common import numbered, slices, staged, with_block
+from delaylens.llm.tokens import text_ids
 
 SLICE_BYTES = 8 << 20
-CACHE_WORDS = 500_000
-JOINED_WORDS = 2000
-#: Lower-case ASCII and Latin-1 letters: a run of them is one word to the tokenizer, and so is a run of marks.
-PLAIN = re.compile("[a-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+")
-MARKS = ".,!?;:"
 
 
 def closest_fill(counts: dict[int, int], capacity: int) -> dict[int, int]:
@@ -90,62 +84,9 @@ def placements(found: list[tuple[int, dict[int, int]]]) -> list[tuple[int, int,
     return rows
 
 
-class TokenIds(dict):
-    """Token ids of UTF-8 text without white space, as little-endian 32-bit bytes.
-
-    The tokenizer never joins text over ASCII white space and its normaliser lowers
-    letters, so a text's ids are those of its lower-case pieces, and those of plain
-    words can be found together.
-    """
-
-    def __init__(self, path: str) -> None:
-        from tokenizers import Tokenizer
-
-        super().__init__()
-        self.tokenizer = Tokenizer.from_file(path)
-
-    def of(self, texts: list[str]) -> list[bytes]:
-        """Ids of whole texts."""
-        # special tokens are matched as they stand: such texts keep their case
-        raw = [t.encode() if "<|" in t else t.encode().lower() for t in texts]
-        split = [r.split() for r in raw]
-        if len(self) > CACHE_WORDS:
-            self.clear()
-        self.learn(set().union(*split).difference(self))
-        return [b"".join(map(self.__getitem__, words)) for words in split]
-
-    def learn(self, pieces: set[bytes]) -> None:
-        """Add the ids of new pieces: words letter by letter plain, marks behind them, and all else alone."""
-        words, marked, others = set(), [], set()
-        for piece in pieces:
-            text = piece.decode()
-            word = text.rstrip(MARKS)
-            if PLAIN.fullmatch(word):
-                words.add(word)
-                if word != text:
-                    marked.append((piece, word.encode(), text[len(word) :].encode()))
-            else:
-                others.add(text)
-        others.update(m.decode() for _, _, m in marked)
-        fresh = [w for w in words if w.encode() not in self]
-        for a in range(0, len(fresh), JOINED_WORDS):
-            part = fresh[a : a + JOINED_WORDS]
-            found = self.tokenizer.encode(" ".join(part), add_special_tokens=False)
-            of_word = np.array(found.word_ids)
-            ids = np.array(found.ids, "<u4")
-            cuts = np.searchsorted(of_word, np.arange(len(part) + 1)).tolist()
-            for word, i, j in zip(part, cuts, cuts[1:]):
-                self[word.encode()] = ids[i:j].tobytes()
-        for text in others:
-            ids = self.tokenizer.encode(text, add_special_tokens=False).ids
-            self[text.encode()] = np.array(ids, "<u4").tobytes()
-        for piece, word, marks in marked:
-            self[piece] = self[word] + self[marks]
-
-
 def _pieces(path: str, end: int, window: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids = TokenIds(path)
+        ids = text_ids(path, False)
         stop = end.to_bytes(4, "little")
         for batch in slices(batches, "text", SLICE_BYTES):
             at, starts, lengths, sums, totals = [], [], [], [], []

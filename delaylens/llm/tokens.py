@@ -2,24 +2,22 @@
 
 A tokenizer splits a text with a pattern before it merges anything, so the ids of a text
 are those of its parts. Texts of code points below 384, where the pattern's classes are
-fixed, are split here with the same pattern and every new part is given to the library
-once; any other text goes to the library whole.
+fixed, are split here with the same pattern and every new part is given to the library's
+model once; any other text goes to the library whole.
 """
 
 from __future__ import annotations
 
 import re
+import struct
 from functools import cache
 
-import numpy as np
-
-HALF_CACHE = 150_000
-JOINED_PARTS = 2000
+HALF_CACHE = 400_000
 
 # The letters, numbers and white space below code point 384 (of it, 28 to 31 and 133 are left out).
 LETTERS = "A-Za-zªµºÀ-ÖØ-öø-ſ"
 NUMBERS = "0-9²³¹¼-¾"
-SPACES = "\t\n\x0b\x0c\r  "
+SPACES = "\t\n\x0b\x0c\r \xa0"
 CONTRACTIONS = "'s|'t|'re|'ve|'m|'ll|'d"
 PLAIN = re.compile("[\x00-\x1b\x20-\x84\x86-ſ]*")
 #: Byte-level: parts keep one space before them.
@@ -30,23 +28,41 @@ SPACED = re.compile(
 UNSPACED = re.compile(f"{CONTRACTIONS}|[{LETTERS}]+|[{NUMBERS}]|[^{SPACES}{LETTERS}{NUMBERS}]+")
 
 
+def byte_letters() -> dict[str, int]:
+    """The letter that stands for each byte in a byte-level vocabulary: itself if printable, else the next from 256."""
+    printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    letters = {chr(b): b for b in printable}
+    others = (b for b in range(256) if b not in printable)
+    return letters | {chr(256 + i): b for i, b in enumerate(others)}
+
+
+def packed(ids: list[int]) -> bytes:
+    return struct.pack(f"<{len(ids)}I", *ids)
+
+
 class Parts(dict):
-    """Ids of parts. When half the room is used, parts not asked for since the last time are dropped."""
+    """Ids of parts, found by the tokenizer's model when a part is new.
+
+    When half the room is used, parts not asked for since the last time are dropped.
+    """
 
-    def __init__(self) -> None:
+    def __init__(self, model) -> None:
         super().__init__()
-        self.old: dict[str, bytes] = {}
+        self.model, self.old = model, {}
+        self.letters = {byte: letter for letter, byte in byte_letters().items()}
 
     def __missing__(self, part: str) -> bytes:
-        found = self[part] = self.old[part]
+        found = self.old.get(part)
+        if found is None:
+            letters = part.encode().decode("latin-1").translate(self.letters)
+            found = packed([t.id for t in self.model.tokenize(letters)])
+        self[part] = found
         return found
 
-    def unknown(self, parts: set[str]) -> set[str]:
-        """Make room, and say which of ``parts`` have no ids yet."""
+    def make_room(self) -> None:
         if len(self) > HALF_CACHE:
             self.old = dict(self)
             self.clear()
-        return parts.difference(self).difference(self.old)
 
 
 class TextIds:
@@ -64,41 +80,18 @@ class TextIds:
         added = self.tokenizer.get_added_tokens_decoder().values()
         self.specials = () if plain_specials else tuple(t.content for t in added)
         self.spaced = spaced
-        self.parts = Parts()
+        self.parts = Parts(self.tokenizer.model)
 
     def of(self, texts: list[str]) -> list[bytes]:
         """Ids of whole texts."""
-        split = []
-        for text in texts:
-            if PLAIN.fullmatch(text) and not any(s in text for s in self.specials):
-                split.append(SPACED.findall(text) if self.spaced else UNSPACED.findall(text.lower()))
-            else:
-                split.append(None)
-        self._learn(set().union(*[s for s in split if s is not None]))
-        ids = self.parts.__getitem__
-        return [
-            self._ids(text) if parts is None else b"".join(map(ids, parts)) for text, parts in zip(texts, split)
-        ]
+        self.parts.make_room()
+        return [self._ids(text) for text in texts]
 
     def _ids(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-
-    def _learn(self, parts: set[str]) -> None:
-        """Give the library what is new: words together, so that a call serves many, and all else alone."""
-        fresh = self.parts.unknown(parts)
-        joined = []
-        for part in fresh:
-            if part.isalpha() if not self.spaced else part[:1] == " " and part[1:].isalpha():
-                joined.append(part)
-            else:
-                self.parts[part] = self._ids(part)
-        for a in range(0, len(joined), JOINED_PARTS):
-            some = joined[a : a + JOINED_PARTS]
-            found = self.tokenizer.encode(("" if self.spaced else " ").join(some), add_special_tokens=False)
-            ids = np.array(found.ids, "<u4")
-            cuts = np.searchsorted(np.array(found.word_ids), np.arange(len(some) + 1)).tolist()
-            for part, i, j in zip(some, cuts, cuts[1:]):
-                self.parts[part] = ids[i:j].tobytes()
+        if not PLAIN.fullmatch(text) or any(s in text for s in self.specials):
+            return packed(self.tokenizer.encode(text, add_special_tokens=False).ids)
+        parts = SPACED.findall(text) if self.spaced else UNSPACED.findall(text.lower())
+        return b"".join(map(self.parts.__getitem__, parts))
 
 
 @cache

@@ -12,6 +12,7 @@ import corpus_pipeline
 from delaylens.llm import exact, hashing, jaccard, langid, mixing, packing, quality, sharding, toxicity, warc
 from delaylens.llm.common import new_folder
 from delaylens.llm.queries import tokenizer_path
+from delaylens.llm.tokens import TextIds
 from delaylens.llm.trie import PatriciaTrie
 from pyspark.sql import functions as F
 
@@ -545,7 +546,7 @@ def test_packing(docs):
 def test_token_cache_equals_whole_texts():
     from tokenizers import Tokenizer
 
-    whole, ids = Tokenizer.from_file(tokenizer_path()), packing.TokenIds(tokenizer_path())
+    whole, ids = Tokenizer.from_file(tokenizer_path()), TextIds(tokenizer_path(), spaced=False)
     texts = [
         "It's  the dog's\tDON'T", "ΟΔΟΣ ΟΔΥΣΣΕΥΣ", "a b c\x1cd\x85e", "é ́x", "<|endoftext|> a<|startoftext|>b",
         "\U0001f600‍\U0001f9d1 x̧ 1234 +-*/", "İI ıi ﬁ", "Çá, été!? Élan: A.b ;x ß. <|ENDOFTEXT|>", "it's, 'tis we'll. e\u0301, E\u0301.", "한국어 日本語 ไทย",
