@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from delaylens.llm.common import slices, staged
 from delaylens.llm.tokens import byte_letters, text_ids
 
-BLOCK_BYTES = 6 << 20
+BLOCK_BYTES = 2 << 20
 B_BITS = 32
 SPACE_MARK = "▁"
 
