@@ -152,18 +152,52 @@ def block_rows(texts: list[str | None], both: Sides) -> tuple[dict[str, pa.Array
     doc = links["doc"].to_numpy()
     n_links = np.bincount(doc, minlength=len(texts))
     n_groups = np.bincount(doc[links["closes"].to_numpy()], minlength=len(texts))
-    data, cuts = local.to_numpy().astype("<i4"), np.cumsum([0, *n_links]).tolist()
     columns = {
         "n_a": pc.list_value_length(ids_a).cast(pa.int64()),
         "n_b": pc.list_value_length(ids_b).cast(pa.int64()),
         "n_groups": pa.array(n_groups, pa.int64()),
         "n_links": pa.array(n_links, pa.int64()),
         "groups_sha256": pa.array(group_digests(links, ids_a, ids_b, both), pa.string()),
-        "links": pa.array([data[i:j].tobytes() for i, j in zip(cuts, cuts[1:])], pa.binary()),
+        "links": pa.array(links_of(doc, local.to_numpy().astype(np.int64), len(texts)), pa.binary()),
     }
     return columns, pairs
 
 
+def packed(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Values in bytes of seven bits, the lowest first, and where each begins and the last one ends."""
+    sizes = 1 + sum((values >> (7 * k) > 0).astype(np.int64) for k in range(1, 5))
+    at = np.concatenate([[0], np.cumsum(sizes)])
+    out = np.zeros(at[-1], np.uint8)
+    for k in range(5):
+        some = sizes > k
+        out[at[:-1][some] + k] = values[some] >> (7 * k) & 127 | np.where(sizes[some] > k + 1, 128, 0)
+    return out, at
+
+
+def unpacked(data: np.ndarray) -> np.ndarray:
+    """The values of :func:`packed`."""
+    ends = np.flatnonzero(data < 128)
+    starts = np.concatenate([[0], ends[:-1] + 1])[: len(ends)]
+    values = np.zeros(len(ends), np.int64)
+    for k in range(5):
+        some = starts + k <= ends
+        values[some] |= (data[starts[some] + k].astype(np.int64) & 127) << (7 * k)
+    return values
+
+
+def links_of(doc: np.ndarray, local: np.ndarray, documents: int) -> list[bytes]:
+    """Each document's links in order of their pair, as packed differences; their place in the text is not kept."""
+    key = np.sort(doc << 32 | local)
+    n = np.bincount(doc, minlength=documents)
+    value = key & 0xFFFFFFFF
+    first = (np.cumsum(n) - n)[n > 0]
+    step = np.diff(value, prepend=0)
+    step[first] = value[first]
+    data, at = packed(step)
+    cuts = at[np.concatenate([[0], np.cumsum(n)])].tolist()
+    return [data[i:j].tobytes() for i, j in zip(cuts, cuts[1:])]
+
+
 def _align(path_a: str, path_b: str):
     names = ["block", "row", "n_a", "n_b", "n_groups", "n_links", "groups_sha256", "links", "local", "pair", "n"]
 
@@ -185,9 +219,12 @@ def _align(path_a: str, path_b: str):
 
 def _sums(left: pa.Table, right: pa.Table) -> pa.Table:
     """Sums of a block's links over the corpus-wide counts of their pairs."""
-    n = pc.divide(pc.binary_length(left["links"]), 4).to_numpy()
+    n = left["n_links"].to_numpy()
     doc = pa.array(np.repeat(np.arange(len(left)), n))
-    local = pa.array(np.frombuffer(b"".join(left["links"].to_pylist()), "<i4"))
+    total = np.cumsum(unpacked(np.frombuffer(b"".join(left["links"].to_pylist()), np.uint8)))
+    # differences start again with each document
+    before = np.concatenate([[0], total])[np.cumsum(n) - n]
+    local = pa.array(total - np.repeat(before, n))
     order = pc.sort_indices(right, sort_keys=[("local", "ascending")])
     count, best = right["count"].take(order).take(local), right["best"].take(order).take(local)
     rows = pa.table({"doc": doc, "count": count, "best": best.cast(pa.int64())})
