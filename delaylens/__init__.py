@@ -1,7 +1,8 @@
 """Departure-delay analytics on Spark DataFrames."""
 
-from delaylens.functions import timeutil
+from delaylens.functions import timeutil, zoneoffsets
 from delaylens.operators import (
+    boosting,
     bridge,
     clean,
     evaluate,
@@ -11,6 +12,7 @@ from delaylens.operators import (
     lagjoin,
     models,
     ordered,
+    oversample,
     profile,
     rollup,
     sampling,
@@ -20,6 +22,6 @@ from delaylens.operators import (
 from delaylens.sources import io, schemas
 
 __all__ = [
-    "bridge", "clean", "evaluate", "features", "graph", "io", "joins", "lagjoin", "models", "ordered",
-    "profile", "rollup", "sampling", "schemas", "split", "timeutil", "tuning",
+    "boosting", "bridge", "clean", "evaluate", "features", "graph", "io", "joins", "lagjoin", "models", "ordered",
+    "oversample", "profile", "rollup", "sampling", "schemas", "split", "timeutil", "tuning", "zoneoffsets",
 ]

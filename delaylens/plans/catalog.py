@@ -7,6 +7,8 @@ engine; entries without it have no exact SQL form.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
+from operator import add, and_
 
 from pyspark.ml import Pipeline
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, RegressionEvaluator
@@ -24,6 +26,7 @@ from delaylens.operators import (
     graph,
     lagjoin,
     models,
+    oversample,
     profile,
     rollup,
     sampling,
@@ -1052,6 +1055,46 @@ def gbt_predictions(spark, base):
     return evaluate.round_prediction(fitted.transform(test)).select(*_SHOWN, "pred_adjust")
 
 
+@query()
+def boosted_missing_predictions(spark, base):
+    train, test = model_tables(spark, base)
+    fitted = models.fit_cached([VectorAssembler(inputCols=_PLAIN, outputCol="raw_features")], models.boosted_missing(), train)
+    return evaluate.round_prediction(fitted.transform(test)).select(*_SHOWN, "pred_adjust")
+
+
+_SMOTE_KEYS = ROW_KEYS[:4]
+_SMOTE_RATIO = 0.75
+_SMOTE_COPIES = f"floor(n * {_SMOTE_RATIO}) + CASE WHEN {_hash_sql(_SMOTE_KEYS, 81)} < n * {_SMOTE_RATIO} - floor(n * {_SMOTE_RATIO}) THEN 1 ELSE 0 END"
+
+
+@query(f"""WITH {_FLIGHTS}, points AS (
+  SELECT {', '.join(_NUMERIC)}, min({{{', '.join(f"'{c}': {c}" for c in _SMOTE_KEYS)}}}) AS id, count(*) AS n
+  FROM flights WHERE cancelled = 1 GROUP BY {', '.join(_NUMERIC)}),
+counted AS (SELECT {', '.join(f"id.{c} AS {c}" for c in _SMOTE_KEYS)}, n FROM points),
+copies AS (SELECT {', '.join(_SMOTE_KEYS)}, unnest(range(1, CAST({_SMOTE_COPIES} AS BIGINT) + 1)) AS copy FROM counted)
+SELECT {', '.join(_SMOTE_KEYS)}, copy, true AS other_is_another, true AS on_line FROM copies""")
+def smote_rows(spark, base):
+    """New rows for the cancelled flights; each is checked to lie between its two points."""
+    rows = labelled(spark, base).select(*_SMOTE_KEYS, *_NUMERIC, "cancelled")
+    rows = io.stage(rows.filter("cancelled = 1"), scratch_path(spark, "minority"))
+    new = oversample.smote(rows, "cancelled", 1, _NUMERIC, _SMOTE_KEYS, _SMOTE_RATIO)
+    at_base, at_other = F.col("base")["at"], F.col("other")["at"]
+
+    def along(end):
+        """Of the way from the base to ``end``, the part that goes towards the other point."""
+        return reduce(add, [(end[c] - at_base[c]) * (at_other[c] - at_base[c]) for c in _NUMERIC])
+
+    new = new.withColumn("share", along(F.struct(*_NUMERIC)) / along(at_other))
+    gaps = [
+        F.abs(F.col(c) - at_base[c] - F.col("share") * (at_other[c] - at_base[c]))
+        <= 1e-9 * (F.abs(at_base[c]) + F.abs(at_other[c]) + 1)
+        for c in _NUMERIC
+    ]
+    on_line = reduce(and_, gaps, F.col("share").between(-1e-9, 1 + 1e-9))
+    apart = (F.col("base") != F.col("other")).alias("other_is_another")
+    return new.select("base.key.*", "copy", apart, on_line.alias("on_line"))
+
+
 def _tuned_logistic():
     """Estimator, its full grid and its feature stages, as in ``jobs/learn.py``."""
     lr = models.LogisticRegression(featuresCol="pca_features", labelCol="delay_label")

@@ -7,6 +7,7 @@ import json
 
 from pyspark.ml import Pipeline
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, RegressionEvaluator
+from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
@@ -26,6 +27,10 @@ def plan(name: str):
         stages = models.boosted_stages(FLAGS + NUMERIC)
         gbt = models.boosted_trees()
         return stages, gbt, tuning.boosted_grid(gbt), RegressionEvaluator(labelCol="delay_label", metricName="rmse")
+    if name == "PenalisedTrees":
+        assembler = VectorAssembler(inputCols=FLAGS + NUMERIC, outputCol="raw_features")
+        trees = models.boosted_missing()
+        return [assembler], trees, tuning.boosted_grid(trees), RegressionEvaluator(labelCol="delay_label", metricName="rmse")
     stages = models.with_pca(models.matrix_stages(CATEGORICAL, NUMERIC))
     if name == "RandomForest":
         rf = models.random_forest()
@@ -40,7 +45,7 @@ def main(argv: list[str] | None = None) -> None:
     p.add_argument("--out", required=True, help="folder for splits, models and predictions")
     p.add_argument("--suffix", default="")
     p.add_argument("--dataset", choices=["prescaled", "scaled"], default="prescaled")
-    p.add_argument("--model", choices=[*MODELS, "All"], default="All")
+    p.add_argument("--model", choices=[*MODELS, "PenalisedTrees", "All"], default="All")
     p.add_argument("--first-year", type=int, default=2015)
     p.add_argument("--last-year", type=int, default=2021)
     p.add_argument("--sample", type=float, default=0.1, help="fraction of the training rows used for tuning")
@@ -65,7 +70,7 @@ def main(argv: list[str] | None = None) -> None:
         )
         io.save_model(model, f"{a.out}/model_{name}{a.suffix}")
         scored = evaluate.round_prediction(model.transform(test))
-        score = F.col("prediction") if name == "BoostedTrees" else vector_to_array("probability")[1]
+        score = F.col("prediction") if name.endswith("Trees") else vector_to_array("probability")[1]
         kept = scored.select(*flow.SAMPLE_KEYS, "delay_label", score.alias("score"), "prediction", "pred_adjust")
         kept = io.save_split(kept, f"{a.out}/predictions_{name}{a.suffix}")
         roc = evaluate.roc(kept, "delay_label", "score")
