@@ -9,6 +9,7 @@ import pyarrow.compute
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from delaylens.operators.joins import skew_join
 from delaylens.session import scratch_path
 
 #: Code points 9 to 13 and 32 separate words.
@@ -48,10 +49,39 @@ def fold_of(doc_id: Column, folds: int) -> Column:
     return F.coalesce(F.pmod(F.crc32(doc_id.cast("string").cast("binary")), F.lit(folds)), F.lit(0))
 
 
+def with_class(
+    rows: DataFrame, label: Column, labels: DataFrame | None, seed: int
+) -> tuple[DataFrame, int, DataFrame | None]:
+    """Arguments of :func:`labelled_rows` for a whole-number ``label`` of ``rows``, or of ``labels``."""
+    kind = label.cast("int").alias("class")
+    if labels is None:
+        return rows.select("doc_id", "text", kind), seed, None
+    return rows.select("doc_id", "text"), seed, labels.select("doc_id", kind)
+
+
+def labelled_rows(rows: DataFrame, seed: int, labels: DataFrame | None = None) -> DataFrame:
+    """Staged (doc_id, class, n, h, t, copies): ids, classes, and sizes and hashes of the texts of ``rows``.
+
+    The class is a column of ``rows`` (doc_id, text, class), or that of ``labels`` (doc_id,
+    class). Only ids, sizes and hashes are joined, so no text crosses a shuffle, however
+    many labels there are. Rows without a class or an id are left out; equal ones are counted.
+    """
+    text, kinds = F.coalesce("text", F.lit("")), ["class"] if labels is None else []
+    known = rows.dropna(subset=["doc_id", *kinds]).select(
+        "doc_id", *kinds, F.octet_length(text).cast("long").alias("n"), F.xxhash64(text).alias("t")
+    )
+    thin = staged(known.groupBy("doc_id", *kinds, "n", "t").agg(F.count("*").alias("copies")), "sample")
+    if labels is not None:
+        marks = labels.dropna(subset=["doc_id", "class"]).groupBy("doc_id", "class").agg(F.count("*").alias("marks"))
+        joined = skew_join(thin, marks, ["doc_id"]).withColumn("copies", F.col("copies") * F.col("marks"))
+        thin = staged(joined.drop("marks"), "sample")
+    return thin.withColumn("h", F.xxhash64(F.col("doc_id"), F.lit(seed)))
+
+
 def labelled_sample(
-    rows: DataFrame, per_class: int, class_bytes: int, seed: int
+    rows: DataFrame, per_class: int, class_bytes: int, seed: int, thin: DataFrame | None = None
 ) -> list[tuple[str, object]]:
-    """Whole texts and classes of a bounded sample of ``rows`` (doc_id, text, class).
+    """Whole texts and classes of a bounded sample of ``rows`` (doc_id, text, and class unless in ``thin``).
 
     Of each class the rows with the smallest hashed ids are taken, at most
     ``per_class`` rows and ``class_bytes`` bytes, in that order; a text that does not
@@ -59,23 +89,10 @@ def labelled_sample(
     left out, and a class has none if each of its texts is larger than ``class_bytes``.
     The choice depends on the ids and texts alone. Rows that repeat id, class and text are
     counted, and their text comes back once, so no more than the sample reaches the driver.
+    ``thin`` is the result of :func:`labelled_rows`, made here when not given.
     """
-    text = F.coalesce("text", F.lit(""))
-    known = rows.filter(F.col("class").isNotNull() & F.col("doc_id").isNotNull()).select(
-        "doc_id", "class", text.alias("text"), F.xxhash64(text).alias("t")
-    )
-    thin = staged(
-        known.select(
-            "doc_id",
-            "class",
-            F.octet_length("text").cast("long").alias("n"),
-            F.xxhash64("doc_id", F.lit(seed)).alias("h"),
-            "t",
-        )
-        .groupBy("doc_id", "class", "n", "h", "t")
-        .agg(F.count("*").alias("copies")),
-        "sample",
-    )
+    if thin is None:
+        thin = labelled_rows(rows, seed)
     wanted: dict[tuple[object, object, int], int] = {}
     order = ["h", "doc_id", "n", "t"]
     for (kind,) in thin.select("class").distinct().orderBy("class").collect():
@@ -97,10 +114,12 @@ def labelled_sample(
             own = own.filter(F.struct(*order) > last)
     if not wanted:
         return []
-    key = ["doc_id", "class", "t"]
-    picked = rows.sparkSession.createDataFrame(list(wanted), thin.select(*key).schema)
+    text, key = F.coalesce("text", F.lit("")), ["doc_id", "t"]
+    picked = rows.sparkSession.createDataFrame(sorted({(i, t) for i, _, t in wanted}), thin.select(*key).schema)
+    known = rows.select("doc_id", text.alias("text"), F.xxhash64(text).alias("t"))
     texts = known.join(F.broadcast(picked), key, "left_semi").groupBy(*key).agg(F.first("text").alias("text"))
-    found = sorted((r["doc_id"], r["class"], r["text"], r["t"]) for r in texts.collect())
+    held = {(r["doc_id"], r["t"]): r["text"] for r in texts.collect()}
+    found = sorted((i, kind, held[i, t], t) for i, kind, t in wanted)
     return [(text, kind) for i, kind, text, t in found for _ in range(wanted[i, kind, t])]
 
 

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from delaylens.llm.common import labelled_sample, slices
+from delaylens.llm.common import labelled_rows, labelled_sample, slices, with_class
 
 WINDOW, STRIDE, BLOCK = 8, 2, 128
 EMBED, FILTERS, HIDDEN = 4, 32, 16
@@ -187,21 +187,24 @@ def _score(net: Network):
 
 
 def fit(
-    rows: DataFrame, label: Column, per_class: int = PER_CLASS, class_bytes: int = CLASS_BYTES
+    rows: DataFrame, label: Column, per_class: int = PER_CLASS, class_bytes: int = CLASS_BYTES,
+    labels: DataFrame | None = None,
 ) -> Network | None:
     """Network from a bounded sample of ``rows`` (doc_id, text) with 0/1 labels; None without both labels.
 
     The sample holds at most ``per_class`` rows and ``class_bytes`` bytes of whole texts of each class.
+    ``label`` is read from ``labels`` (doc_id and others) where they are a table of their own.
     """
-    kinds = rows.select("doc_id", "text", label.cast("int").alias("class")).filter(F.col("class").isin(0, 1))
-    sample = labelled_sample(kinds, per_class, class_bytes, 3)
+    thin = labelled_rows(*with_class(rows, label, labels, 3)).filter(F.col("class").isin(0, 1))
+    sample = labelled_sample(rows, per_class, class_bytes, 3, thin)
     return train(sample) if len({y for _, y in sample}) == 2 else None
 
 
 def score(docs: DataFrame, net: Network | None, columns: list[str], text: str = "text") -> DataFrame:
     """``row`` (a struct of ``columns``) and score of each whole text: the probability of label 1.
 
-    Null and empty texts are scored as zeros; without a network every score is 0.5.
+    Null and empty texts are scored as zeros; without a network every score is 0.5. Rows that repeat are
+    scored each; of other columns only ``columns`` are read.
     """
     rows = docs.select(F.struct(*columns).alias("row"), F.col(text).alias("text"))
     if net is None:

@@ -44,18 +44,17 @@ def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def labelled(spark: SparkSession, sf_dir: str, folds: int, fold: int) -> tuple[DataFrame, DataFrame]:
-    """Documents with held_out, and those of the other folds with their labels."""
-    held_out = fold_of(F.col("doc_id"), folds) == fold
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text", held_out.alias("held_out"))
-    known = docs.filter(~F.col("held_out")).join(table(spark, sf_dir, "labels"), "doc_id")
-    return docs, known
+def held_out(spark: SparkSession, sf_dir: str, folds: int, fold: int) -> DataFrame:
+    """Texts of all documents, and whether their labels are held out."""
+    kept_back = fold_of(F.col("doc_id"), folds) == fold
+    return table(spark, sf_dir, "documents").select("doc_id", "text", kept_back.alias("held_out"))
 
 
 def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality of all documents, learned from two thirds of the labels."""
-    docs, known = labelled(spark, sf_dir, 3, 1)
-    found = quality.score(docs, quality.fit(known, F.col("quality")), ["doc_id", "held_out"])
+    docs, labels = held_out(spark, sf_dir, 3, 1), table(spark, sf_dir, "labels")
+    net = quality.fit(docs.filter(~F.col("held_out")), F.col("quality"), labels=labels)
+    found = quality.score(docs, net, ["doc_id", "held_out"])
     return found.select("row.doc_id", "row.held_out", "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
@@ -129,8 +128,8 @@ def op8_hashing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity of all documents, learned from three quarters of the labels."""
-    docs, known = labelled(spark, sf_dir, 4, 2)
-    model, prior = toxicity.fit(known, F.col("toxic"))
+    docs, labels = held_out(spark, sf_dir, 4, 2), table(spark, sf_dir, "labels")
+    model, prior = toxicity.fit(docs.filter(~F.col("held_out")), F.col("toxic"), labels=labels)
     found = toxicity.score(docs, model, prior, ["doc_id", "held_out"])
     return found.select("row.doc_id", "row.held_out", "score", (F.col("score") >= 0.3).cast("int").alias("predicted"), "terms")
 

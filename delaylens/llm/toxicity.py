@@ -20,7 +20,7 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from delaylens.llm.common import labelled_sample, slices
+from delaylens.llm.common import labelled_rows, labelled_sample, slices, with_class
 
 WORDS = regex.compile(r"\p{L}[\p{L}\p{M}]*")
 BEGINNINGS = range(4, 9)
@@ -198,19 +198,21 @@ def _score(model: Classifier):
 
 
 def fit(
-    rows: DataFrame, label: Column, per_class: int = PER_CLASS, class_bytes: int = CLASS_BYTES
+    rows: DataFrame, label: Column, per_class: int = PER_CLASS, class_bytes: int = CLASS_BYTES,
+    labels: DataFrame | None = None,
 ) -> tuple[Classifier | None, float]:
     """Classifier (None where no voter is found) and share of label 1, from ``rows`` (doc_id, text).
 
     The sample holds at most ``per_class`` rows and ``class_bytes`` bytes of whole texts of each class;
-    the share counts all labelled rows.
+    the share counts all labelled rows. ``label`` is read from ``labels`` (doc_id and others) where they
+    are a table of their own.
     """
-    kinds = rows.select("doc_id", "text", label.cast("int").alias("class")).filter(F.col("class").isin(0, 1))
-    counts = {r["class"]: r["n"] for r in kinds.groupBy("class").agg(F.count("*").alias("n")).collect()}
+    thin = labelled_rows(*with_class(rows, label, labels, 9)).filter(F.col("class").isin(0, 1))
+    counts = {r["class"]: r["n"] for r in thin.groupBy("class").agg(F.sum("copies").alias("n")).collect()}
     prior = counts.get(1, 0) / max(sum(counts.values()), 1)
     if len(counts) < 2:
         return None, prior
-    return train(labelled_sample(kinds, per_class, class_bytes, 9), prior), prior
+    return train(labelled_sample(rows, per_class, class_bytes, 9, thin), prior), prior
 
 
 def score(
@@ -219,7 +221,8 @@ def score(
     """``row`` (a struct of ``columns``), score and the terms found in each whole text.
 
     The score is the probability of label 1. Null and empty texts hold no term; without a
-    model every text scores ``prior``.
+    model every text scores ``prior``. Rows that repeat are scored each; of other columns only
+    ``columns`` are read.
     """
     rows = docs.select(F.struct(*columns).alias("row"), F.col(text).alias("text"))
     kind = rows.schema["row"].dataType.simpleString()
