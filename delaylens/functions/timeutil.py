@@ -48,9 +48,16 @@ def local_to_utc(ts: Column | str, tz: Column | str, ambiguous: str = "later") -
     utc = F.convert_timezone(tz, F.lit("UTC"), ts)
     if ambiguous == "earlier":
         return utc
-    hour = _interval("1 hour")
-    twice = F.convert_timezone(F.lit("UTC"), tz, utc + hour) == ts
-    return utc + F.when(twice, hour).otherwise(_interval("0 hour"))
+    later = F.when(F.lit(False), _interval("0 hour"))
+    # clocks go back by an hour, by half of one or by two
+    for back in map(_interval, ("1 hour", "30 minutes", "2 hours")):
+        later = later.when(F.convert_timezone(F.lit("UTC"), tz, utc + back) == ts, back)
+    return utc + later.otherwise(_interval("0 hour"))
+
+
+def date_of(c: Column | str) -> Column:
+    """Day of an ISO text, a date or a timestamp; null if it is none."""
+    return F.substring(_col(c).cast("string"), 1, 10).try_cast("date")
 
 
 def hhmm_to_local(date: Column | str, hhmm: Column | str) -> Column:

@@ -14,10 +14,20 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from delaylens.functions.timeutil import _col, _interval, local_to_utc
+from delaylens.functions.timeutil import _col, _interval, date_of, hhmm_to_local, local_to_utc
 
 PAD_DAYS = 3
 PROBE = "6 HOURS"
+#: Years that a table may cover; other times are converted one by one.
+YEARS = (1970, 2037)
+
+
+def years_of(df: DataFrame, date: str) -> tuple[int, int]:
+    """First and last year, within ``YEARS``, of an ISO text, date or timestamp: one pass over one column."""
+    year = F.substring(F.col(date).cast("string"), 1, 4).try_cast("int")
+    inside = df.select(year.alias("year")).filter(F.col("year").between(*YEARS))
+    first, last = inside.agg(F.min("year"), F.max("year")).first()
+    return (YEARS[0], YEARS[0]) if first is None else (first, last)
 
 
 def _offset(utc: Column) -> Column:
@@ -67,7 +77,7 @@ class ZoneTable:
         dim = self.rows.select(
             F.col("tz").alias(f"{prefix}_tz"), F.col("year").alias(f"{prefix}_year"), F.col("known").alias(prefix)
         )
-        on = (F.col(tz) == F.col(f"{prefix}_tz")) & (F.year(_col(date)) == F.col(f"{prefix}_year"))
+        on = (F.col(tz) == F.col(f"{prefix}_tz")) & (F.year(date_of(date)) == F.col(f"{prefix}_year"))
         return df.join(F.broadcast(dim), on, "left").drop(f"{prefix}_tz", f"{prefix}_year")
 
     def to_utc(self, ts: Column | str, tz: str, prefix: str = "_zone") -> Column:
@@ -81,6 +91,13 @@ class ZoneTable:
         inside = (ts >= known["low"]) & (ts < known["high"])
         return F.when(inside, ts - offset).otherwise(local_to_utc(ts, tz, self.ambiguous))
 
+    def hhmm_to_utc(self, date: str, hhmm: Column | str, tz: str, prefix: str = "_zone", zero_is_null: bool = False) -> Column:
+        """Date and local ``HHMM`` of attached rows in UTC; any missing part gives null."""
+        hhmm = _col(hhmm)
+        if zero_is_null:
+            hhmm = F.when(hhmm != 0, hhmm)
+        return self.to_utc(hhmm_to_local(date, hhmm), tz, prefix)
+
 
 def zone_table(
     zones: DataFrame, first_year: int, last_year: int, ambiguous: str = "later", pad_days: int = PAD_DAYS

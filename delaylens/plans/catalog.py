@@ -17,7 +17,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from delaylens.functions import timeutil
+from delaylens.functions import timeutil, zoneoffsets
 from delaylens.operators import (
     bridge,
     clean,
@@ -227,8 +227,9 @@ FROM readings JOIN zones ON station = site""")
 def local_to_utc(spark, base):
     text = readings(spark, base).withColumn("ts", F.col("ts").cast("string"))
     sited = timeutil.attach_tz(text, "station", standin.zones(spark, base), "inner", zone_key="site")
-    utc = timeutil.local_to_utc(timeutil.parse_local("ts"), "tz")
-    return sited.select("event_id", "tz", utc.alias("utc")).select(
+    offsets = zoneoffsets.zone_table(standin.zones(spark, base), *zoneoffsets.years_of(text, "ts"))
+    utc = offsets.to_utc(timeutil.parse_local("ts"), "tz")
+    return offsets.attach(sited, "tz", "ts").select("event_id", "tz", utc.alias("utc")).select(
         "event_id", "tz", F.col("utc").cast("string").alias("utc"), timeutil.hour_key_round("utc").alias("weather_ymdh")
     )
 
@@ -250,8 +251,12 @@ def hhmm_to_utc(spark, base):
     df = timeutil.attach_tz(df, "airport_iata", zones, "left", zone_key="site")
     df = timeutil.attach_tz(df, "dest_iata", zones, "left", zone_key="site", out="dest_tz")
 
+    offsets = zoneoffsets.zone_table(zones, FIRST_YEAR, LAST_YEAR)
+    df = offsets.attach(offsets.attach(df, "tz", "fl_date", "_origin"), "dest_tz", "fl_date", "_dest")
+
     def utc(hhmm, tz, name):
-        return timeutil.hhmm_to_utc("fl_date", hhmm, tz).cast("string").alias(name)
+        side = "_origin" if tz == "tz" else "_dest"
+        return offsets.hhmm_to_utc("fl_date", hhmm, tz, side).cast("string").alias(name)
 
     return df.select(
         *ROW_KEYS[:4],
@@ -309,7 +314,7 @@ def flight_times(spark, base):
     given = given.withColumns({c: F.expr(x) for c, x in _TIMES.items()})
     df = timeutil.attach_tz(given, "airport_iata", zones, "left", zone_key="site")
     df = timeutil.attach_tz(df, "dest_iata", zones, "left", zone_key="site", out="dest_tz")
-    df = flow.flight_times(df)
+    df = flow.flight_times(df, offsets=zoneoffsets.zone_table(zones, FIRST_YEAR, LAST_YEAR))
     return df.select(*ROW_KEYS[:4], *[F.col(u).cast("string").alias(u) for _, u, _ in flow.FLIGHT_TIMES])
 
 

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from delaylens.functions import timeutil
+from delaylens.functions.zoneoffsets import ZoneTable, years_of, zone_table
 from delaylens.operators import bridge, clean, features, graph, lagjoin, rollup, sampling, split
 from delaylens.sources import schemas
 
@@ -35,12 +36,14 @@ def curate_weather(
     sites = clean.dedup(bridge.station_airport(stations, airports))
     sites = timeutil.attach_tz(sites, "airport_iata", zones, "inner")
     readings = clean.project(weather, ["STATION", *schemas.WEATHER_NAMES])
-    readings = clean.dedup(bridge.attach_airport(readings, sites))
+    offsets = zone_table(zones, *years_of(weather, "DATE"))
+    readings = offsets.attach(bridge.attach_airport(readings, sites), "tz", "DATE")
+    utc = offsets.to_utc(timeutil.parse_local("DATE"), "tz")
+    readings = clean.dedup(readings.withColumn("weather_utc_timestamp", utc).drop("tz", "_zone"))
     readings = clean.rename(readings, schemas.WEATHER_NAMES)
     readings = clean.cast_readings(readings, schemas.WEATHER_TYPES)
     readings = clean.fill(readings, 0, schemas.WEATHER_ZERO_WHEN_MISSING)
-    utc = timeutil.local_to_utc(timeutil.parse_local("local_datetime"), "tz")
-    readings = clean.require(readings.withColumn("weather_utc_timestamp", utc), ["weather_utc_timestamp"]).drop("tz")
+    readings = clean.require(readings, ["weather_utc_timestamp"])
     carried = [c for c in readings.columns if c not in schemas.WEATHER_AGGREGATES and c != "airport_iata"]
     if carry is not None:
         carried = [c for c in carried if c in carry]
@@ -53,20 +56,28 @@ def curate_weather(
     )
 
 
-def flight_times(flights: DataFrame, compat_utc: bool = False) -> DataFrame:
+def flight_times(flights: DataFrame, compat_utc: bool = False, offsets: ZoneTable | None = None) -> DataFrame:
     """Add the six UTC times from local ``HHMM`` and the zones ``tz`` and ``dest_tz``.
 
     Departures fall on the day nearest to the target and ``dep_delay``; arrivals use the destination's
     zone, and each later event the first day on which it does not precede the one before. ``compat_utc`` uses the origin's zone and date
-    throughout and takes 0 for missing.
+    throughout and takes 0 for missing. With ``offsets`` two small joins bring the offsets of both zones;
+    without, every time is converted by itself.
     """
+    sides = {False: ("tz", "_origin"), True: ("dest_tz", "_dest")}
+    df = flights
+    for tz, side in [sides[dest] for dest in (False, True) if offsets and not (dest and compat_utc)]:
+        df = offsets.attach(df, tz, "fl_date", side)
+
+    def utc(hhmm: str, dest: bool) -> Column:
+        tz, side = sides[dest and not compat_utc]
+        if offsets is None:
+            return timeutil.hhmm_to_utc("fl_date", hhmm, tz, zero_is_null=compat_utc)
+        return offsets.hhmm_to_utc("fl_date", hhmm, tz, side, zero_is_null=compat_utc)
+
+    df = df.withColumns({name: utc(t, dest) for t, name, dest in FLIGHT_TIMES}).drop("_origin", "_dest")
     if compat_utc:
-        return flights.withColumns(
-            {utc: timeutil.hhmm_to_utc("fl_date", t, "tz", zero_is_null=True) for t, utc, _ in FLIGHT_TIMES}
-        )
-    df = flights.withColumns(
-        {utc: timeutil.hhmm_to_utc("fl_date", t, "dest_tz" if dest else "tz") for t, utc, dest in FLIGHT_TIMES}
-    )
+        return df
 
     day, half_day = F.expr("INTERVAL 1 DAY"), F.expr("INTERVAL 12 HOURS")
 
@@ -103,7 +114,8 @@ def curate_flights(flights: DataFrame, zones: DataFrame, compat: bool = False) -
     df = df.withColumns({t: timeutil.clamp_hhmm(t) for t, _, _ in FLIGHT_TIMES})
     df = timeutil.attach_tz(df, "airport_iata", zones, "left")
     df = timeutil.attach_tz(df, "dest_iata", zones, "left", out="dest_tz")
-    df = flight_times(df, compat_utc=compat).drop("tz", "dest_tz")
+    offsets = zone_table(zones, *years_of(flights, "FL_DATE"))
+    df = flight_times(df, compat, offsets).drop("tz", "dest_tz")
     df = features.delay_label(df, "actual_dep_time", "dep_delay")
     df = features.fixed_holiday(df, "fl_date", schemas.FIXED_HOLIDAYS)
     df = features.seasons(df, "month")
