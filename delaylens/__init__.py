@@ -16,6 +16,7 @@ from delaylens.operators import (
     profile,
     rollup,
     sampling,
+    scaling,
     split,
     tuning,
 )
@@ -23,5 +24,5 @@ from delaylens.sources import io, schemas
 
 __all__ = [
     "boosting", "bridge", "clean", "evaluate", "features", "graph", "io", "joins", "lagjoin", "models", "ordered",
-    "oversample", "profile", "rollup", "sampling", "schemas", "split", "timeutil", "tuning", "zoneoffsets",
+    "oversample", "profile", "rollup", "sampling", "scaling", "schemas", "split", "timeutil", "tuning", "zoneoffsets",
 ]

@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from delaylens.operators.joins import lookup
+from delaylens.operators.scaling import ZScore
 
 # Months of the seasons and hours of the parts of the day.
 SEASON_MONTHS = {"spring": [3, 4, 5], "summer": [6, 7, 8], "fall": [9, 10, 11], "winter": [12, 1, 2]}
@@ -115,19 +116,8 @@ def zscore(
     One aggregation fits all columns. Each ``c`` is replaced by ``c_scaled``;
     a constant column becomes 0.
     """
-    stats = train.agg(
-        *[F.avg(c).alias(f"m_{c}") for c in cols], *[F.stddev_samp(c).alias(f"s_{c}") for c in cols]
-    ).first()
-
-    def scaled(c: str) -> Column:
-        mean, sd = stats[f"m_{c}"], stats[f"s_{c}"]
-        value = (F.col(c) - mean) / sd if sd else F.when(F.col(c).isNotNull(), F.lit(0.0))
-        return value if ndigits is None else F.round(value, ndigits)
-
-    return [
-        df.select(*[x for x in df.columns if x not in cols], *[scaled(c).alias(c + suffix) for c in cols])
-        for df in dfs
-    ]
+    model = ZScore(inputCols=cols, digits=-1 if ndigits is None else ndigits, suffix=suffix).fit(train)
+    return [model.transform(df) for df in dfs]
 
 
 def pca(df: DataFrame, cols: list[str], k: int = 5, out: str = "pca_features") -> tuple[DataFrame, PCAModel]:

@@ -30,6 +30,7 @@ from delaylens.operators import (
     profile,
     rollup,
     sampling,
+    scaling,
     split,
     tuning,
 )
@@ -1006,6 +1007,15 @@ def model_tables(spark: SparkSession, base: str) -> tuple[DataFrame, DataFrame]:
     return tuple(features.zscore(train, [train, test], _NUMERIC))
 
 
+def fold_tables(spark: SparkSession, base: str) -> tuple[DataFrame, DataFrame]:
+    """Training years and the held-out year as they are, for stages that scale and balance inside each fold."""
+    return split.holdout(model_rows(spark, base), "year", LAST_YEAR)
+
+
+def balanced(df: DataFrame) -> DataFrame:
+    return sampling.undersample(df, "delay_label", 0, 1.0, ROW_KEYS)
+
+
 def _scaled(cols: list[str]) -> list[str]:
     return [c + "_scaled" for c in cols]
 
@@ -1104,12 +1114,12 @@ def _tuned_logistic():
     """Estimator, its full grid and its feature stages, as in ``jobs/learn.py``."""
     lr = models.LogisticRegression(featuresCol="pca_features", labelCol="delay_label")
     stages = models.with_pca(models.matrix_stages(_CATEGORICAL, _scaled(_NUMERIC)))
-    return lr, tuning.logistic_grid(lr), Pipeline(stages=stages)
+    return lr, tuning.logistic_grid(lr), Pipeline(stages=[scaling.ZScore(inputCols=_NUMERIC), *stages])
 
 
 @query()
 def fold_cv_scores(spark, base):
-    train, _ = model_tables(spark, base)
+    train, _ = fold_tables(spark, base)
     lr, maps, stages = _tuned_logistic()
     found = tuning.fold_cv(
         lr,
@@ -1118,13 +1128,14 @@ def fold_cv_scores(spark, base):
         train,
         split.rolling_splits("year", FIRST_YEAR, LAST_YEAR - 1),
         features=stages,
+        balance=balanced,
     )
     return found.scores
 
 
 @query()
 def fold_cv_average(spark, base):
-    train, _ = model_tables(spark, base)
+    train, _ = fold_tables(spark, base)
     gbt = models.boosted_trees()
     found = tuning.fold_cv(
         gbt,
@@ -1132,14 +1143,15 @@ def fold_cv_average(spark, base):
         RegressionEvaluator(labelCol="delay_label", metricName="rmse"),
         split.random_folds(train, 3, ROW_KEYS),
         split.random_splits("fold", 3),
-        features=Pipeline(stages=models.boosted_stages(_PLAIN)),
+        features=Pipeline(stages=[scaling.ZScore(inputCols=_NUMERIC), *models.boosted_stages(_PLAIN)]),
+        balance=balanced,
     )
     return found.average()
 
 
 @query()
 def tuned_predictions(spark, base):
-    train, test = model_tables(spark, base)
+    train, test = fold_tables(spark, base)
     lr, maps, stages = _tuned_logistic()
     model, _ = tuning.tune_then_refit(
         lr,
@@ -1150,6 +1162,7 @@ def tuned_predictions(spark, base):
         ROW_KEYS,
         sample=0.5,
         features=stages,
+        balance=balanced,
     )
     return model.transform(test).select(*_SHOWN)
 

@@ -159,20 +159,28 @@ def select_features(df: DataFrame) -> DataFrame:
 SAMPLE_KEYS = ["fl_date", "airline", "flight_num", "tail_num", "airport_iata", "dest_iata", "target_dep_time"]
 
 
+def balanced(df: DataFrame, ratio: float = 1.0, seed: int = 81) -> DataFrame:
+    """All delayed flights and about ``ratio`` times as many others."""
+    return sampling.undersample(df, "delay_label", 1, ratio, SAMPLE_KEYS, seed)
+
+
 def train_and_test(
     df: DataFrame, last_year: int, ratio: float = 1.0, seed: int = 81, fit_on: str = "train"
 ) -> tuple[DataFrame, DataFrame]:
     """Hold out ``last_year``, undersample and standardise.
 
-    By default both are done on the training years alone; ``fit_on='all'``
-    undersamples and scales before the split.
+    By default both are done on the training years alone; ``fit_on='all'`` undersamples
+    and scales before the split. ``fit_on='fold'`` does neither: the rows stay as they are
+    for a pipeline that scales and balances inside each fold.
     """
     df = features.period_keys(df, "fl_date", "quarter")
     if fit_on == "all":
-        balanced = sampling.undersample(df, "delay_label", 1, ratio, SAMPLE_KEYS, seed)
-        (scaled,) = features.zscore(balanced, [balanced], schemas.NUMERIC_FEATURES)
+        rows = balanced(df, ratio, seed)
+        (scaled,) = features.zscore(rows, [rows], schemas.NUMERIC_FEATURES)
         return split.holdout(scaled, "year", last_year)
     train, test = split.holdout(df, "year", last_year)
-    train = sampling.undersample(train, "delay_label", 1, ratio, SAMPLE_KEYS, seed)
+    if fit_on == "fold":
+        return train, test
+    train = balanced(train, ratio, seed)
     train, test = features.zscore(train, [train, test], schemas.NUMERIC_FEATURES)
     return train, test

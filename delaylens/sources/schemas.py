@@ -116,10 +116,13 @@ KNOWN_ONLY_AFTERWARDS = [
     "cancelled",
     "cancellation_code",
     "diverted",
+    "delay_label",
+    "late",
 ]
 
 BUSY_AIRPORTS = ["ORD", "ATL"]
 
+# Month and day of the holidays and the days around them.
 FIXED_HOLIDAYS = [
     "1-1", "1-2", "7-3", "7-4", "7-5", "11-27", "11-28", "11-29", "12-24", "12-25", "12-26", "12-31",
 ]

@@ -12,6 +12,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from delaylens import evaluate, io, models, schemas, split, tuning
+from delaylens.operators.scaling import ZScore
 from delaylens.plans import flights as flow
 from delaylens.session import get_session
 
@@ -49,7 +50,7 @@ def main(argv: list[str] | None = None) -> None:
     p.add_argument("--first-year", type=int, default=2015)
     p.add_argument("--last-year", type=int, default=2021)
     p.add_argument("--sample", type=float, default=0.1, help="fraction of the training rows used for tuning")
-    p.add_argument("--fit-on", choices=["train", "all"], default="train")
+    p.add_argument("--fit-on", choices=["fold", "train", "all"], default="fold")
     a = p.parse_args(argv)
 
     spark = get_session("delaylens-learn")
@@ -62,11 +63,15 @@ def main(argv: list[str] | None = None) -> None:
         train = io.read_table(spark, a.out, "train", a.suffix)
         test = io.read_table(spark, a.out, "test", a.suffix)
     splits = split.rolling_splits("year", a.first_year, a.last_year - 1)
+    # rows that are not scaled yet are scaled and balanced by what each fold trains on
+    inside = NUMERIC[0] not in train.columns
+    first = [ZScore(inputCols=schemas.NUMERIC_FEATURES)] if inside else []
 
     for name in MODELS if a.model == "All" else [a.model]:
         stages, estimator, grid, evaluator = plan(name)
         model, tuned = tuning.tune_then_refit(
-            estimator, grid, evaluator, train, splits, flow.SAMPLE_KEYS, a.sample, features=Pipeline(stages=stages)
+            estimator, grid, evaluator, train, splits, flow.SAMPLE_KEYS, a.sample,
+            features=Pipeline(stages=[*first, *stages]), balance=flow.balanced if inside else None,
         )
         io.save_model(model, f"{a.out}/model_{name}{a.suffix}")
         scored = evaluate.round_prediction(model.transform(test))
