@@ -32,6 +32,7 @@ def page_rank(
     max_iter: int = 15,
     dangling: str = "spread",
     checkpoint_every: int = 5,
+    tol: float | None = None,
     names: tuple[str, str] = ("dep_iata", "dep_rank"),
 ) -> DataFrame:
     """Scores after ``max_iter`` rounds of ``alpha/n + (1 - alpha) * inflow``.
@@ -43,6 +44,9 @@ def page_rank(
     Each round is one join on the origin and one map-side combined sum on the
     destination. A weight-0 link from every site to itself keeps sites that
     receive nothing, so scores appear once per round and plans grow linearly.
+    The lost score of a round is a scalar inside its plan, so the driver waits for scores
+    only at every ``checkpoint_every``-th round; there, with ``tol``, the rounds end once
+    all scores together changed by no more. The result is checkpointed.
     Scores too many to broadcast meet links that were partitioned once by origin,
     hubs cut into pieces, so that only scores move.
     """
@@ -83,22 +87,34 @@ def page_rank(
             return links.join(F.broadcast(scores), "src")
         return links.join(copied(scores, pieces), ["src", "_salt"])
 
-    for i in range(1, max_iter + 1):
-        inflow = (
-            with_scores(scores)
-            .groupBy("dst")
-            .agg(F.sum(F.col("share") * F.col("score")).alias("inflow"))
-        )
-        lost = 0.0
-        if leaks:
-            inflow = checkpointed(inflow)
-            lost = 1.0 - inflow.agg(F.sum("inflow")).first()[0]
-        elif i % checkpoint_every == 0 and i < max_iter:
-            inflow = checkpointed(inflow)
-        new = F.lit(alpha / max(n, 1)) + (1 - alpha) * (F.col("inflow") + lost / max(n, 1))
-        scores = inflow.select(F.col("dst").alias("src"), new.alias("score"))
-    if not few:
-        scores = checkpointed(scores)
-        links.unpersist()
+    held: list[DataFrame] = []
+    try:
+        for i in range(1, max_iter + 1):
+            before = scores
+            inflow = with_scores(scores).groupBy("dst").agg(F.sum(F.col("share") * F.col("score")).alias("inflow"))
+            lost = F.lit(0.0)
+            if leaks:
+                # read twice, so kept; the lost score is one number that Spark computes on the way
+                inflow = inflow.persist(StorageLevel.MEMORY_AND_DISK)
+                held.append(inflow)
+                lost = inflow.agg(1.0 - F.sum("inflow")).scalar()
+            new = F.lit(alpha / max(n, 1)) + (1 - alpha) * (F.col("inflow") + lost / max(n, 1))
+            scores = inflow.select(F.col("dst").alias("src"), new.alias("score"))
+            if i % checkpoint_every == 0 or i == max_iter:
+                scores = checkpointed(scores)
+                if tol is not None and residual(before, scores) <= tol:
+                    break
+                while held:
+                    held.pop().unpersist()
+    finally:
+        for old in held:
+            old.unpersist()
+        if not few:
+            links.unpersist()
     return scores.toDF(*names)
 
+
+def residual(before: DataFrame, after: DataFrame) -> float:
+    """Sum of the absolute changes of all scores (``src, score``)."""
+    both = after.join(before.withColumnRenamed("score", "old"), "src")
+    return both.agg(F.coalesce(F.sum(F.abs(F.col("score") - F.col("old"))), F.lit(0.0))).first()[0]
