@@ -560,6 +560,31 @@ def profile_ndv(spark, base):
     return profile.ndv(table(spark, base, "events"), "user_id")
 
 
+@query(f"""WITH {_FLIGHTS} SELECT airport_iata, count(DISTINCT tail_num) AS tails, true AS near FROM flights GROUP BY ALL""")
+def ndv_sketches(spark, base):
+    """Exact counts, and whether the merged sketches of all years come within 5 % of them."""
+    yearly = profile.distinct_sketches(dated(spark, base), ["year", "airport_iata"], "tail_num")
+    sketches = io.stage(yearly, scratch_path(spark, "sketches"), ["year"])
+    estimates = profile.merged_ndv(sketches, ["airport_iata"])
+    exact = flights(spark, base).groupBy("airport_iata").agg(F.count_distinct("tail_num").alias("tails"))
+    near = F.abs(F.col("ndv") - F.col("tails")) <= 0.05 * F.col("tails")
+    return exact.join(estimates, "airport_iata").select("airport_iata", "tails", near.alias("near"))
+
+
+@query(f"""WITH {_FLIGHTS}, b AS (SELECT {', '.join(f'min({c}) AS lo_{c}, max({c}) AS hi_{c}' for c in ("l_quantity", "l_tax"))} FROM flights),
+s AS ({' UNION ALL '.join(f"SELECT '{c}' AS name, least(floor(({c} - lo_{c}) / ((hi_{c} - lo_{c}) / 7)), 6)::BIGINT AS bin FROM flights, b" for c in ("l_quantity", "l_tax"))})
+SELECT name, bin, count(*) AS n FROM s GROUP BY ALL""")
+def histograms_one_scan(spark, base):
+    """Several histograms of flights from one scan; their ranges are observed while flights are staged."""
+    cols = ["l_quantity", "l_tax"]
+    rows = flights(spark, base).select(*cols)
+    summary = profile.Summary(rows, cols)
+    held = io.stage(summary.attach(rows), scratch_path(spark, "profiled"))
+    found = profile.histograms(held, {c: (c, 7, *summary.range(c)) for c in cols})
+    named = [t.select(F.lit(c).alias("name"), "bin", "n") for c, t in found.items()]
+    return named[0].unionByName(named[1]).filter("n > 0")
+
+
 @query(f"WITH {_FLIGHTS} SELECT delay_label, count(*) AS n FROM flights GROUP BY ALL")
 def profile_value_counts(spark, base):
     return profile.value_counts(labelled(spark, base), "delay_label")

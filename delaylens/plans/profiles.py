@@ -6,31 +6,56 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from delaylens.operators import profile, sampling
+from delaylens.session import checkpointed
 from delaylens.sources import schemas
 
 
+BY = ["MONTH", "FL_DATE", "DAY_OF_WEEK", "late"]
+READINGS = ["HourlyPrecipitation", "HourlyWindSpeed"]
+
+
 def raw_profiles(flights: DataFrame, weather: DataFrame, stations: DataFrame) -> dict[str, DataFrame]:
-    """Sizes, missing values, rates, delays over time and sensor distributions."""
+    """Sizes, missing values, rates, delays over time and sensor distributions.
+
+    Flights are read twice: once for the groups, with all plain measures taken on the way,
+    and once, with the ranges known, for all histograms.
+    """
+    delays = ["DEP_DELAY", "ARR_DELAY"]
+    summary = profile.Summary(flights, delays, ["CANCELLED", "DIVERTED"])
+    dated = summary.attach(flights).withColumn("late", F.col("DEP_DELAY") > 15).select(*BY, *delays)
+    sets = dated.groupingSets([[F.col(c)] for c in BY], *BY)
+    # the bit of a column is 0 where its own groups are
+    groups = checkpointed(
+        sets.agg(F.grouping_id().alias("set"), F.count("*").alias("n"), *[F.avg(c).alias(c) for c in delays])
+    )
+    own = {c: groups.filter(F.col("set") == 2 ** len(BY) - 1 - 2 ** (len(BY) - 1 - i)) for i, c in enumerate(BY)}
+    sensors = profile.Summary(weather, READINGS)
+    known = checkpointed(sensors.attach(weather).agg(F.count_distinct("STATION").alias("ndv")))
     tables = {
-        **{f"shape_{n}": profile.shape(t) for n, t in (("flights", flights), ("weather", weather), ("stations", stations))},
-        "missing_flights": profile.missing(flights),
-        "missing_weather": profile.missing(weather),
-        "describe_delay": profile.describe(flights, ["DEP_DELAY", "ARR_DELAY"]),
-        "null_delay": profile.null_count(flights, "DEP_DELAY"),
-        "rates": profile.flag_rate(flights, ["CANCELLED", "DIVERTED"]),
-        "delay_histogram": profile.histogram(flights, "DEP_DELAY", 50),
-        "delay_histogram_0_400": profile.histogram(flights, "DEP_DELAY", 50, 0, 400),
-        "arrival_delay_by_month": profile.mean_by(flights, ["MONTH"], "ARR_DELAY"),
-        "delay_by_date": profile.mean_by(flights, ["FL_DATE"], "DEP_DELAY"),
-        "delay_by_weekday": profile.mean_by(flights, ["DAY_OF_WEEK"], "DEP_DELAY"),
-        "station_count": profile.ndv(weather, "STATION"),
+        "shape_flights": summary.shape(),
+        "shape_weather": sensors.shape(),
+        "shape_stations": profile.shape(stations),
+        "missing_flights": summary.missing(),
+        "missing_weather": sensors.missing(),
+        "describe_delay": summary.describe(delays),
+        "null_delay": summary.null_count("DEP_DELAY"),
+        "rates": summary.flag_rate(["CANCELLED", "DIVERTED"]),
+        "arrival_delay_by_month": own["MONTH"].select("MONTH", F.col("ARR_DELAY").alias("mean")),
+        "delay_by_date": own["FL_DATE"].select("FL_DATE", F.col("DEP_DELAY").alias("mean")),
+        "delay_by_weekday": own["DAY_OF_WEEK"].select("DAY_OF_WEEK", F.col("DEP_DELAY").alias("mean")),
+        "late_flights": own["late"].filter("late IS NOT NULL").select("late", "n"),
+        "station_count": known,
+        **profile.histograms(
+            flights,
+            {
+                "delay_histogram": ("DEP_DELAY", 50, *summary.range("DEP_DELAY")),
+                "delay_histogram_0_400": ("DEP_DELAY", 50, 0, 400),
+            },
+        ),
+        **profile.histograms(weather, {f"histogram_{c}": (c, 10, *sensors.range(c)) for c in READINGS}),
     }
-    late = flights.select((F.col("DEP_DELAY") > 15).alias("late"))
-    tables["late_flights"] = profile.value_counts(late, "late")
-    for c in ("HourlyPrecipitation", "HourlyWindSpeed"):
-        reading = weather.select(F.col(c).try_cast("double").alias(c))
-        tables[f"histogram_{c}"] = profile.histogram(reading, c, 10)
-        tables[f"box_{c}"] = profile.box_stats(reading, c)
+    for c in READINGS:
+        tables[f"box_{c}"] = profile.box_stats(weather.select(F.col(c).try_cast("double").alias(c)), c)
     return tables
 
 
@@ -39,9 +64,6 @@ def feature_profiles(features: DataFrame, label: str = "delay_label") -> dict[st
     flags = ["is_holiday", *schemas.SEASONS, *schemas.DAY_PARTS]
     delays = profile.delays_by_airport(features, label=label)
     tables = {
-        "class_counts": sampling.class_counts(features, label),
-        "label_histogram": profile.histogram(features, label, 2),
-        "missing_features": profile.missing(features),
         "correlation": profile.correlation(features, [label, *flags, *schemas.NUMERIC_FEATURES]),
         "label_by_flag": profile.label_by_flag(features, flags, label),
         "top_airports": profile.top_k(
@@ -49,8 +71,12 @@ def feature_profiles(features: DataFrame, label: str = "delay_label") -> dict[st
         ),
         "most_delayed_airports": profile.top_k(delays, [F.col("delays").desc(), F.col("airport_iata")]),
     }
-    for c in schemas.NUMERIC_FEATURES:
-        tables[f"histogram_{c}"] = profile.histogram(features, c, 10)
+    summary = profile.Summary(features, [label, *schemas.NUMERIC_FEATURES])
+    tables["class_counts"] = checkpointed(sampling.class_counts(summary.attach(features), label))
+    tables["missing_features"] = summary.missing()
+    wanted = {f"histogram_{c}": (c, 10, *summary.range(c)) for c in schemas.NUMERIC_FEATURES}
+    wanted["label_histogram"] = (label, 2, *summary.range(label))
+    tables |= profile.histograms(features, wanted)
     for c in ("hourly_visibility", "hourly_wind_speed", "daily_precipitation"):
         tables[f"box_{c}"] = profile.box_stats(features, c, label)
     return tables
