@@ -4,6 +4,7 @@ from delaylens.functions import timeutil, zoneoffsets
 from delaylens.operators import (
     boosting,
     bridge,
+    certify,
     clean,
     evaluate,
     features,
@@ -23,6 +24,6 @@ from delaylens.operators import (
 from delaylens.sources import io, schemas
 
 __all__ = [
-    "boosting", "bridge", "clean", "evaluate", "features", "graph", "io", "joins", "lagjoin", "models", "ordered",
+    "boosting", "bridge", "certify", "clean", "evaluate", "features", "graph", "io", "joins", "lagjoin", "models", "ordered",
     "oversample", "profile", "rollup", "sampling", "scaling", "schemas", "split", "timeutil", "tuning", "zoneoffsets",
 ]

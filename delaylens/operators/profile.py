@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Observation
+from functools import cached_property
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -169,15 +171,15 @@ def histograms(df: DataFrame, wanted: dict[str, tuple[str, int, float | None, fl
 
 
 class Summary:
-    """Size, missing values, moments, ranges and flag rates of a table, taken while it is read for something else.
+    """Size, missing values, moments, ranges and flag rates of a table, from one scan for all of them.
 
-    ``attach`` puts the measures on a table; once any action has read all of it, the
-    tables below are there without another scan. The measures are sums on the map side.
+    The scan runs when the first of the tables below is asked for. Every measure is a sum on
+    the map side, so one row per task is all that moves.
     """
 
     def __init__(self, df: DataFrame, numbers: list[str] | None = None, flags: list[str] | None = None) -> None:
         self.columns, self.numbers, self.flags = df.columns, numbers or [], flags or []
-        self.spark, self.found = df.sparkSession, Observation()
+        self.df = df
         aggs = [F.count("*").alias("rows")]
         aggs += [F.count_if(_invalid(df, c)).alias(f"missing_{c}") for c in df.columns]
         aggs += [F.count_if(F.col(c).isNull()).alias(f"null_{c}") for c in self.numbers]
@@ -189,33 +191,34 @@ class Summary:
         aggs += [F.sum(F.when(F.col(c) == 1, 1).otherwise(0)).alias(f"flag_{c}") for c in self.flags]
         self.aggs = aggs
 
-    def attach(self, df: DataFrame) -> DataFrame:
-        return df.observe(self.found, *self.aggs)
+    @cached_property
+    def found(self) -> dict[str, object]:
+        return self.df.agg(*self.aggs).first().asDict()
 
     def _table(self, rows: list[tuple], schema: str) -> DataFrame:
-        return self.spark.createDataFrame(rows, schema)
+        return self.df.sparkSession.createDataFrame(rows, schema)
 
     def shape(self) -> DataFrame:
-        return self._table([(self.found.get["rows"], len(self.columns))], "rows long, columns long")
+        return self._table([(self.found["rows"], len(self.columns))], "rows long, columns long")
 
     def missing(self) -> DataFrame:
-        return self._table([(c, self.found.get[f"missing_{c}"]) for c in self.columns], "column string, missing long")
+        return self._table([(c, self.found[f"missing_{c}"]) for c in self.columns], "column string, missing long")
 
     def null_count(self, c: str) -> DataFrame:
-        return self._table([(self.found.get[f"null_{c}"],)], "nulls long")
+        return self._table([(self.found[f"null_{c}"],)], "nulls long")
 
     def describe(self, cols: list[str]) -> DataFrame:
         fields = ("count", "mean", "stddev", "min", "max")
-        rows = [(c, *[self.found.get[f"{f}_{c}"] for f in fields]) for c in cols]
+        rows = [(c, *[self.found[f"{f}_{c}"] for f in fields]) for c in cols]
         return self._table(rows, "column string, count long, mean double, stddev double, min double, max double")
 
     def flag_rate(self, cols: list[str]) -> DataFrame:
-        n = self.found.get["rows"]
-        return self._table([(c, 100.0 * self.found.get[f"flag_{c}"] / n if n else None) for c in cols], "flag string, percent double")
+        n = self.found["rows"]
+        return self._table([(c, 100.0 * self.found[f"flag_{c}"] / n if n else None) for c in cols], "flag string, percent double")
 
     def range(self, c: str) -> tuple[float | None, float | None]:
         """Lowest and highest valid value, for :func:`histograms`."""
-        return self.found.get[f"lo_{c}"], self.found.get[f"hi_{c}"]
+        return self.found[f"lo_{c}"], self.found[f"hi_{c}"]
 
 
 def box_stats(df: DataFrame, c: str, by: str | None = None) -> DataFrame:

@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from delaylens.functions import timeutil, zoneoffsets
 from delaylens.operators import (
     bridge,
+    certify,
     clean,
     evaluate,
     features,
@@ -575,12 +576,11 @@ def ndv_sketches(spark, base):
 s AS ({' UNION ALL '.join(f"SELECT '{c}' AS name, least(floor(({c} - lo_{c}) / ((hi_{c} - lo_{c}) / 7)), 6)::BIGINT AS bin FROM flights, b" for c in ("l_quantity", "l_tax"))})
 SELECT name, bin, count(*) AS n FROM s GROUP BY ALL""")
 def histograms_one_scan(spark, base):
-    """Several histograms of flights from one scan; their ranges are observed while flights are staged."""
+    """Several histograms of flights from one scan, their ranges from another."""
     cols = ["l_quantity", "l_tax"]
     rows = flights(spark, base).select(*cols)
     summary = profile.Summary(rows, cols)
-    held = io.stage(summary.attach(rows), scratch_path(spark, "profiled"))
-    found = profile.histograms(held, {c: (c, 7, *summary.range(c)) for c in cols})
+    found = profile.histograms(rows, {c: (c, 7, *summary.range(c)) for c in cols})
     named = [t.select(F.lit(c).alias("name"), "bin", "n") for c, t in found.items()]
     return named[0].unionByName(named[1]).filter("n > 0")
 
@@ -1074,6 +1074,42 @@ def lr_predictions(spark, base):
     return models.logistic(_PLAIN).fit(train).transform(test).select(*_SHOWN)
 
 
+@query(f"""SELECT term, true AS optimal FROM (VALUES ('(intercept)'), {', '.join(f"('{c}')" for c in _PLAIN)}) t(term)""")
+def lr_optimality(spark, base):
+    """Whether the penalised log loss has no slope at the fitted coefficients, term by term, over all training rows."""
+    train, _ = model_tables(spark, base)
+    model = models.logistic(_PLAIN).fit(train)
+    found = certify.logistic_gradient(model.transform(train), model.stages[-1], _PLAIN)
+    return found.select("term", (F.abs("gradient") < 1e-4).alias("optimal"))
+
+
+@query("SELECT component, true AS matches, true AS uncorrelated, true AS in_order FROM range(1, 6) t(component)")
+def pca_optimality(spark, base):
+    """Whether each component's scores have the variance the model states, in order and uncorrelated."""
+    df = model_rows(spark, base)
+    (df,) = features.zscore(df, [df], _NUMERIC)
+    scores, model = features.pca(df, _PLAIN, k=5)
+    total = df.agg(reduce(add, [F.var_samp(c) for c in _PLAIN])).first()[0]
+    found = certify.component_checks(scores, model, total)
+    return found.select(F.col("component").cast("long").alias("component"), "matches", "uncorrelated", "in_order")
+
+
+@query(f"""WITH {_FLIGHTS} SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, delay_label, true AS same, true AS rounded
+FROM flights WHERE year = {LAST_YEAR}""")
+def saved_model_agrees(spark, base):
+    """Every held-out row once: the saved and loaded model scores it as the fitted one does, and predicts the likelier class."""
+    train, test = model_tables(spark, base)
+    fitted, path = models.logistic(_PLAIN).fit(train), scratch_path(spark, "model")
+    io.save_model(fitted, path)
+    names = ["p", "prediction"]
+    rows = fitted.transform(test).select("*", vector_to_array("probability")[1].alias("p"))
+    rows = rows.select(*test.columns, *[F.col(c).alias(f"was_{c}") for c in names])
+    again = io.load_model(path).transform(rows).withColumn("p", vector_to_array("probability")[1])
+    same = (F.col("p") == F.col("was_p")) & (F.col("prediction") == F.col("was_prediction"))
+    rounded = F.col("prediction") == F.when(F.col("p") > 0.5, 1.0).otherwise(0.0)
+    return again.select(*ROW_KEYS[:4], "delay_label", same.alias("same"), rounded.alias("rounded"))
+
+
 @query()
 def pca_lr_predictions(spark, base):
     train, test = model_tables(spark, base)

@@ -17,12 +17,12 @@ READINGS = ["HourlyPrecipitation", "HourlyWindSpeed"]
 def raw_profiles(flights: DataFrame, weather: DataFrame, stations: DataFrame) -> dict[str, DataFrame]:
     """Sizes, missing values, rates, delays over time and sensor distributions.
 
-    Flights are read twice: once for the groups, with all plain measures taken on the way,
-    and once, with the ranges known, for all histograms.
+    Flights are read three times: for all plain measures, for all groups, and, with the
+    ranges known, for all histograms.
     """
     delays = ["DEP_DELAY", "ARR_DELAY"]
     summary = profile.Summary(flights, delays, ["CANCELLED", "DIVERTED"])
-    dated = summary.attach(flights).withColumn("late", F.col("DEP_DELAY") > 15).select(*BY, *delays)
+    dated = flights.withColumn("late", F.col("DEP_DELAY") > 15).select(*BY, *delays)
     sets = dated.groupingSets([[F.col(c)] for c in BY], *BY)
     # the bit of a column is 0 where its own groups are
     groups = checkpointed(
@@ -30,7 +30,6 @@ def raw_profiles(flights: DataFrame, weather: DataFrame, stations: DataFrame) ->
     )
     own = {c: groups.filter(F.col("set") == 2 ** len(BY) - 1 - 2 ** (len(BY) - 1 - i)) for i, c in enumerate(BY)}
     sensors = profile.Summary(weather, READINGS)
-    known = checkpointed(sensors.attach(weather).agg(F.count_distinct("STATION").alias("ndv")))
     tables = {
         "shape_flights": summary.shape(),
         "shape_weather": sensors.shape(),
@@ -44,7 +43,7 @@ def raw_profiles(flights: DataFrame, weather: DataFrame, stations: DataFrame) ->
         "delay_by_date": own["FL_DATE"].select("FL_DATE", F.col("DEP_DELAY").alias("mean")),
         "delay_by_weekday": own["DAY_OF_WEEK"].select("DAY_OF_WEEK", F.col("DEP_DELAY").alias("mean")),
         "late_flights": own["late"].filter("late IS NOT NULL").select("late", "n"),
-        "station_count": known,
+        "station_count": profile.ndv(weather, "STATION"),
         **profile.histograms(
             flights,
             {
@@ -64,6 +63,7 @@ def feature_profiles(features: DataFrame, label: str = "delay_label") -> dict[st
     flags = ["is_holiday", *schemas.SEASONS, *schemas.DAY_PARTS]
     delays = profile.delays_by_airport(features, label=label)
     tables = {
+        "class_counts": sampling.class_counts(features, label),
         "correlation": profile.correlation(features, [label, *flags, *schemas.NUMERIC_FEATURES]),
         "label_by_flag": profile.label_by_flag(features, flags, label),
         "top_airports": profile.top_k(
@@ -72,7 +72,6 @@ def feature_profiles(features: DataFrame, label: str = "delay_label") -> dict[st
         "most_delayed_airports": profile.top_k(delays, [F.col("delays").desc(), F.col("airport_iata")]),
     }
     summary = profile.Summary(features, [label, *schemas.NUMERIC_FEATURES])
-    tables["class_counts"] = checkpointed(sampling.class_counts(summary.attach(features), label))
     tables["missing_features"] = summary.missing()
     wanted = {f"histogram_{c}": (c, 10, *summary.range(c)) for c in schemas.NUMERIC_FEATURES}
     wanted["label_histogram"] = (label, 2, *summary.range(label))
