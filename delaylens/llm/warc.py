@@ -22,8 +22,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from delaylens.llm.common import staged
+from delaylens.operators.joins import skew_join
 
 BLOCK = 256 << 10
+ARCHIVE_BYTES = 1 << 30
 OUT_ROWS, OUT_BYTES = 5_000, 8 << 20
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 RECORD = pa.schema(
@@ -68,12 +70,16 @@ def _sha(data: bytes) -> str:
 
 
 def record_bytes(
-    record_id: int | None, url: str | None, payload: bytes, digest: str, refers_to: int | None, revisit: bool
+    record_id: int | None, url: str | None, payload: bytes, digest: str, refers_to: int | None, revisit: bool,
+    length: int | None = None,
 ) -> bytes:
-    """One record before compression: a WARC header, an HTTP header and, unless it revisits, the payload."""
+    """One record before compression: a WARC header, an HTTP header and, unless it revisits, the payload.
+
+    ``length`` is that of the whole payload, where a revisit comes without it.
+    """
     http = (
         "HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n"
-        f"Content-Length: {len(payload)}\r\n\r\n"
+        f"Content-Length: {len(payload) if length is None else length}\r\n\r\n"
     ).encode()
     block = http if revisit else http + payload
     lines = [
@@ -142,25 +148,33 @@ def parse(data: bytes) -> tuple:
     return _id(fields["WARC-Record-ID"]), fields.get("WARC-Target-URI"), kind, refers, length, digest, payload
 
 
-def _write(folder: str):
+def _write(folder: str, most: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         system, inner = file_system(folder)
-        path, out, n = f"part-{TaskContext.get().partitionId():06d}-{uuid.uuid4().hex}.warc.gz", None, 0
+        path, out, n = "", None, 0
+
+        def done() -> pa.RecordBatch:
+            out.close()
+            return pa.RecordBatch.from_pylist([{"archive": f"{folder}/{path}", "records": n}])
+
         for batch in batches:
             payloads = batch.column("payload")
-            names = ("record_id", "url", "digest", "first_id", "revisit")
-            for i, row in enumerate(zip(*[batch.column(c).to_pylist() for c in names])):
+            names = ("record_id", "url", "length", "digest", "first_id")
+            for i, (record_id, url, length, digest, first_id) in enumerate(zip(*[batch.column(c).to_pylist() for c in names])):
+                if out is not None and out.tell() >= most:
+                    yield done()
+                    out = None
                 if out is None:
+                    path, n = f"part-{TaskContext.get().partitionId():06d}-{uuid.uuid4().hex}.warc.gz", 0
                     system.create_dir(inner, recursive=True)
                     out = system.open_output_stream(f"{inner}/{path}", compression=None)
-                record_id, url, digest, first_id, revisit = row
                 pack = zlib.compressobj(6, zlib.DEFLATED, 31)
-                data = record_bytes(record_id, url, payloads[i].as_py(), digest, first_id, revisit)
+                payload = payloads[i].as_py()
+                data = record_bytes(record_id, url, payload or b"", digest, first_id, payload is None, length)
                 out.write(pack.compress(data) + pack.flush())
                 n += 1
         if out is not None:
-            out.close()
-            yield pa.RecordBatch.from_pylist([{"archive": f"{folder}/{path}", "records": n}])
+            yield done()
 
     return run
 
@@ -202,25 +216,35 @@ def with_first(records: DataFrame, least: int) -> DataFrame:
         .filter((F.col("_n") > 1) & F.col("first_id").isNotNull())
         .select("digest", "first_id")
     )
-    return hashed.join(firsts, "digest", "left").withColumn(
+    # a page that many records repeat is spread over tasks
+    return skew_join(hashed, firsts, ["digest"], "left").withColumn(
         "revisit", F.col("first_id").isNotNull() & ~F.col("record_id").eqNullSafe(F.col("first_id"))
     )
 
 
-def write(records: DataFrame, folder: str, least: int = 100) -> DataFrame:
+def write(records: DataFrame, folder: str, least: int = 100, most: int = ARCHIVE_BYTES) -> DataFrame:
     """Archives of ``records`` (record_id, url, payload) in ``folder``: archive and records, one row each.
 
-    A null payload is empty, a null url leaves its header out.
+    A null payload is empty, a null url leaves its header out; other columns are not read. A
+    task begins a new archive once one has ``most`` bytes.
     """
     rows = records.select(
         F.col("record_id").cast("long").alias("record_id"),
         F.col("url").cast("string").alias("url"),
         F.coalesce("payload", F.lit("").cast("binary")).alias("payload"),
     )
-    ready = with_first(rows, least).select("record_id", "url", "payload", "digest", "first_id", "revisit")
-    return staged(ready.mapInArrow(_write(folder), "archive string, records long"), "archives")
+    known = with_first(rows, least)
+    # what revisits another record leaves its payload behind
+    payload = F.when(~F.col("revisit"), F.col("payload")).alias("payload")
+    length = F.octet_length("payload").cast("long").alias("length")
+    ready = known.select("record_id", "url", payload, length, "digest", "first_id")
+    return staged(ready.mapInArrow(_write(folder, most), "archive string, records long"), "archives")
 
 
 def read(archives: DataFrame) -> DataFrame:
-    """Records of the archives named in ``archive``; an archive is read by one task, in sequence."""
-    return archives.repartition("archive").mapInArrow(_read, RECORD_DDL)
+    """Records of the archives named in ``archive``; an archive is read by one task, in sequence.
+
+    There is a task for each archive. Records that repeat come back each; other columns are not read.
+    """
+    named = archives.select("archive")
+    return named.repartitionByRange(max(named.count(), 1), "archive").mapInArrow(_read, RECORD_DDL)
