@@ -18,6 +18,7 @@ def asked(spark, monkeypatch):
         raise Asked(*args)
 
     monkeypatch.setattr(catalog, "model_tables", lambda spark, base: (spark.range(1), spark.range(1)))
+    monkeypatch.setattr(catalog, "fold_tables", catalog.model_tables)
     monkeypatch.setattr(catalog, "ROW_KEYS", ["id"])
     for module, name in ((models, "fit_cached"), (tuning, "fold_cv"), (tuning, "tune_then_refit")):
         monkeypatch.setattr(module, name, stop)
