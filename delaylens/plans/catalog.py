@@ -12,7 +12,7 @@ from operator import add, and_
 
 from pyspark.ml import Pipeline
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, RegressionEvaluator
-from pyspark.ml.feature import Imputer, OneHotEncoder, StringIndexer, VectorAssembler, VectorIndexer
+from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -762,6 +762,21 @@ def ranks(spark: SparkSession, base: str) -> DataFrame:
     return graph.page_rank(routes(spark, base)).withColumn("dep_rank", F.round("dep_rank", 8))
 
 
+_KNOWN_ROUTES = f"SELECT airport_iata AS src, dest_iata AS dst, count(dest_iata) AS w FROM flights WHERE year < {LAST_YEAR} GROUP BY ALL"
+
+
+@query(f"""WITH {_HOLIDAYS}, {_FLIGHTS}, {_page_rank_ctes(_KNOWN_ROUTES)}
+SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, airport_iata, round(score, 8) AS dep_rank,
+       CASE WHEN EXISTS (SELECT 1 FROM holidays WHERE abs(date_diff('day', date, CAST(fl_date AS DATE))) <= 1)
+            THEN 1 ELSE 0 END AS is_holiday
+FROM flights LEFT JOIN s15 ON node = airport_iata""")
+def add_context(spark, base):
+    """The whole context flow: scores from the routes of the training years, and the padded holidays."""
+    days = standin.holidays(spark).withColumnRenamed("date", "Date")
+    df = flow.add_context(dated(spark, base).withColumn("holiday", F.lit(0)), days, last_year=LAST_YEAR)
+    return df.select(*ROW_KEYS[:4], "airport_iata", F.round("dep_rank", 8).alias("dep_rank"), "is_holiday")
+
+
 @query(f"""WITH {_RANKED}
 SELECT node AS dep_iata, round(score, 8) AS dep_rank FROM s15 ORDER BY dep_rank DESC, dep_iata LIMIT 10""")
 def top_airports(spark, base):
@@ -867,8 +882,8 @@ def zscore(spark, base):
 SELECT cancelled, round(avg(coalesce(actual_dep_time, mean)), 8) AS filled, count(*) AS n FROM flights, m GROUP BY ALL""")
 def impute_mean(spark, base):
     df = flights(spark, base).select("cancelled", F.col("actual_dep_time").cast("double").alias("x"))
-    filled = Imputer(inputCols=["x"], outputCols=["y"]).fit(df).transform(df)
-    return filled.groupBy("cancelled").agg(F.round(F.avg("y"), 8).alias("filled"), F.count("*").alias("n"))
+    filled = Pipeline(stages=models.matrix_stages([], ["x"])).fit(df).transform(df)
+    return filled.groupBy("cancelled").agg(F.round(F.avg("x_imputed"), 8).alias("filled"), F.count("*").alias("n"))
 
 
 _INDEXED = """SELECT event_type, row_number() OVER (ORDER BY n DESC, event_type) - 1 AS place, n
@@ -878,8 +893,8 @@ FROM (SELECT event_type, count(*) AS n FROM events GROUP BY event_type)"""
 @query(f"SELECT event_type, CAST(place AS DOUBLE) AS event_index, n FROM ({_INDEXED})")
 def string_index(spark, base):
     df = table(spark, base, "events").select("event_type")
-    model = StringIndexer(inputCol="event_type", outputCol="event_index", handleInvalid="keep").fit(df)
-    return model.transform(df).groupBy("event_type", "event_index").agg(F.count("*").alias("n"))
+    indexed = Pipeline(stages=models.matrix_stages(["event_type"], [])).fit(df).transform(df)
+    return indexed.groupBy("event_type", F.col("event_type_idx").alias("event_index")).agg(F.count("*").alias("n"))
 
 
 @query(f"""SELECT event_type, CAST(place AS INTEGER) AS slot, CAST((SELECT count(DISTINCT event_type) FROM events) AS INTEGER) AS width, n
@@ -898,9 +913,8 @@ SELECT quarter, CAST(quarter - 1 AS DOUBLE) AS quarter_index, CAST(sum(l_quantit
 FROM flights GROUP BY quarter""")
 def vector_index(spark, base):
     df = flights(spark, base).select("quarter", "l_quantity")
-    vectors = VectorAssembler(inputCols=["quarter", "l_quantity"], outputCol="raw").transform(df)
-    indexed = VectorIndexer(inputCol="raw", outputCol="indexed").fit(vectors).transform(vectors)
-    cells = indexed.select("quarter", vector_to_array("indexed").alias("cells"))
+    indexed = Pipeline(stages=models.boosted_stages(["quarter", "l_quantity"])).fit(df).transform(df)
+    cells = indexed.select("quarter", vector_to_array("features").alias("cells"))
     return cells.groupBy("quarter", F.get("cells", F.lit(0)).alias("quarter_index")).agg(
         F.sum(F.get("cells", F.lit(1))).alias("quantity")
     )
