@@ -253,23 +253,13 @@ def label_by_flag(df: DataFrame, flags: list[str], label: str) -> DataFrame:
 def correlation(df: DataFrame, cols: list[str]) -> DataFrame:
     """Pearson correlations in long form; rows with an invalid value are skipped.
 
-    Plain sums of values relative to their mean, which a first pass finds: that does
-    not change the result but keeps the sums of products accurate.
+    One aggregation: Spark merges means and co-moments, which stay accurate without a pass
+    for the means before, so ``df`` is read once.
     """
-    valid = df.select(*[F.col(c).cast("double").alias(c) for c in cols]).na.drop()
-    means = valid.agg(*[F.avg(c).alias(f"m{i}") for i, c in enumerate(cols)]).first()
-    moved = valid.select(*[(F.col(c) - (means[i] or 0.0)).alias(f"v{i}") for i, c in enumerate(cols)])
+    names = [f"v{i}" for i in range(len(cols))]
+    valid = df.select(*[F.col(c).cast("double").alias(v) for c, v in zip(cols, names)]).na.drop()
     pairs = [(i, j) for i in range(len(cols)) for j in range(i, len(cols))]
-    sums = moved.agg(
-        F.count("*").alias("n"),
-        *[F.sum(f"v{i}").alias(f"s{i}") for i in range(len(cols))],
-        *[F.sum(F.col(f"v{i}") * F.col(f"v{j}")).alias(f"s{i}_{j}") for i, j in pairs],
-    )
-
-    def spread(i: int, j: int) -> Column:
-        return F.col(f"s{i}_{j}") - F.col(f"s{i}") * F.col(f"s{j}") / F.col("n")
-
-    spreads = sums.select(*[spread(i, j).alias(f"c{i}_{j}") for i, j in pairs])
+    spreads = valid.agg(*[F.covar_pop(names[i], names[j]).alias(f"c{i}_{j}") for i, j in pairs])
     corr = [
         F.when((F.col(f"c{i}_{i}") > 0) & (F.col(f"c{j}_{j}") > 0),
                F.col(f"c{i}_{j}") / F.sqrt(F.col(f"c{i}_{i}")) / F.sqrt(F.col(f"c{j}_{j}"))).alias(f"r{i}_{j}")
