@@ -15,7 +15,7 @@ from delaylens.operators.joins import (
     pieces_of,
     salted,
 )
-from delaylens.session import checkpointed
+from delaylens.session import checkpointed, scratch_path
 
 
 def edge_weights(df: DataFrame, src: str, dst: str) -> DataFrame:
@@ -41,9 +41,12 @@ def page_rank(
     sites, and the scores sum to 1. ``dangling='drop'`` lets it vanish and starts
     from the sites with departures only.
 
+    Sites that no link reaches receive nothing, so the scores of those that send are equal
+    in every round, and so are those of the others: one score each. Their links are summed
+    once by destination, and only links between the other sites are followed in the rounds.
     Each round is one join on the origin and one map-side combined sum on the
-    destination. A weight-0 link from every site to itself keeps sites that
-    receive nothing, so scores appear once per round and plans grow linearly.
+    destination. A weight-0 link from every reached site to itself keeps sites that
+    receive nothing in the rounds, so scores appear once per round and plans grow linearly.
     The lost score of a round is a scalar inside its plan, so the driver waits for scores
     only at every ``checkpoint_every``-th round; there, with ``tol``, the rounds end once
     all scores together changed by no more. The result is checkpointed.
@@ -53,29 +56,34 @@ def page_rank(
     if dangling not in ("spread", "drop"):
         raise ValueError("dangling is 'spread' or 'drop'")
     edges = edges.select(F.col(src).alias("src"), F.col(dst).alias("dst"), F.col(w).cast("double").alias("w"))
-    edges = checkpointed(edges.filter(F.col("src").isNotNull() & F.col("dst").isNotNull() & (F.col("w") > 0)))
-    out_weight = edges.groupBy("src").agg(F.sum("w").alias("total"))
-    shares = lookup(edges, out_weight, ["src"]).select("src", "dst", (F.col("w") / F.col("total")).alias("share"))
-    ends = edges.select(
-        F.inline(
-            F.array(
-                F.struct(F.col("src").alias("node"), F.lit(1).alias("sends")),
-                F.struct(F.col("dst").alias("node"), F.lit(0).alias("sends")),
-            )
-        )
-    )
-    nodes = checkpointed(ends.groupBy("node").agg(F.max("sends").alias("sends")))
-    counted = nodes.agg(F.count("*").alias("n"), F.sum("sends").alias("senders")).first()
-    n, senders = counted["n"], counted["senders"] or 0
-    stay = nodes.select(F.col("node").alias("src"), F.col("node").alias("dst"), F.lit(0.0).alias("share"))
-    links = checkpointed(shares.unionByName(stay))
+    edges = _written(edges.filter(F.col("src").isNotNull() & F.col("dst").isNotNull() & (F.col("w") > 0)), "edges")
+    reached = checkpointed(edges.select(F.col("dst").alias("node")).distinct().withColumn("reached", F.lit(True)))
+    out_weight = edges.groupBy("src").agg(F.sum("w").alias("total")).withColumnRenamed("src", "node")
+    ends = out_weight.join(reached, "node", "full")
+    nodes = checkpointed(ends.select("node", "total", F.coalesce("reached", F.lit(False)).alias("reached")))
+    counted = nodes.agg(F.count("*").alias("n"), F.count("total").alias("senders"), F.count_if("reached").alias("reached")).first()
+    n, senders, followed = counted["n"], counted["senders"], counted["reached"]
+    senders_of = nodes.filter("total IS NOT NULL").select(F.col("node").alias("src"), "total", "reached")
+    shares = lookup(edges, senders_of, ["src"]).select("src", "dst", (F.col("w") / F.col("total")).alias("share"), "reached")
+    if followed < n:
+        # links of the unreached are summed as they are read, so none of them moves again
+        origin = F.when(F.col("reached"), F.col("src")).alias("src")
+        summed = checkpointed(shares.groupBy(origin, "dst").agg(F.sum("share").alias("share")))
+        shares, fixed = summed.filter("src IS NOT NULL"), summed.filter("src IS NULL").select("dst", F.col("share").alias("fixed"))
+        stay = reached.select(F.col("node").alias("dst")).join(fixed, "dst", "left").na.fill(0.0, ["fixed"])
+    else:
+        stay = reached.select(F.col("node").alias("dst"), F.lit(0.0).alias("fixed"))
+    links = shares.select("src", "dst", "share", F.lit(0.0).alias("fixed"))
+    links = checkpointed(links.unionByName(stay.select(F.col("dst").alias("src"), "dst", F.lit(0.0).alias("share"), "fixed")))
 
+    start = nodes.filter("reached").select(F.col("node").alias("src"), F.col("total").isNotNull().cast("int").alias("sends"))
     if dangling == "spread":
-        scores = nodes.select(F.col("node").alias("src"), F.lit(1.0 / max(n, 1)).alias("score"))
+        scores, rest = start.select("src", F.lit(1.0 / max(n, 1)).alias("score")), F.lit(1.0 / max(n, 1))
     else:
-        scores = nodes.select(F.col("node").alias("src"), (F.col("sends") / max(senders, 1)).alias("score"))
+        scores, rest = start.select("src", (F.col("sends") / max(senders, 1)).alias("score")), F.lit(1.0 / max(senders, 1))
+    scores = scores.withColumn("rest", rest)
     leaks = dangling == "spread" and senders < n
-    few = n <= BROADCAST_ROWS
+    few = followed <= BROADCAST_ROWS
     if not few:
         width = cluster_width(links)
         pieces = pieces_of(["src"], hot_keys(links, ["src"], width), width)
@@ -91,18 +99,20 @@ def page_rank(
     try:
         for i in range(1, max_iter + 1):
             before = scores
-            inflow = with_scores(scores).groupBy("dst").agg(F.sum(F.col("share") * F.col("score")).alias("inflow"))
+            received = F.sum(F.col("share") * F.col("score") + F.col("fixed") * F.col("rest")).alias("inflow")
+            inflow = with_scores(scores).groupBy("dst").agg(received)
             lost = F.lit(0.0)
             if leaks:
                 # read twice, so kept; the lost score is one number that Spark computes on the way
                 inflow = inflow.persist(StorageLevel.MEMORY_AND_DISK)
                 held.append(inflow)
                 lost = inflow.agg(1.0 - F.sum("inflow")).scalar()
+            rest = F.lit(alpha / max(n, 1)) + (1 - alpha) * (lost / max(n, 1))
             new = F.lit(alpha / max(n, 1)) + (1 - alpha) * (F.col("inflow") + lost / max(n, 1))
-            scores = inflow.select(F.col("dst").alias("src"), new.alias("score"))
+            scores = inflow.select(F.col("dst").alias("src"), new.alias("score"), rest.alias("rest"))
             if i % checkpoint_every == 0 or i == max_iter:
                 scores = checkpointed(scores)
-                if tol is not None and residual(before, scores) <= tol:
+                if tol is not None and residual(before, scores, n - followed) <= tol:
                     break
                 while held:
                     held.pop().unpersist()
@@ -111,10 +121,22 @@ def page_rank(
             old.unpersist()
         if not few:
             links.unpersist()
-    return scores.toDF(*names)
+    last = scores.select("rest").first()
+    others = nodes.filter(~F.col("reached")).select(F.col("node").alias("src"), F.lit(last["rest"] if last else 0.0).alias("score"))
+    return scores.select("src", "score").unionByName(others).toDF(*names)
+
+
+def _written(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` as Parquet, smaller than a checkpoint of its rows, and read it again."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def residual(before: DataFrame, after: DataFrame) -> float:
-    """Sum of the absolute changes of all scores (``src, score``)."""
-    both = after.join(before.withColumnRenamed("score", "old"), "src")
-    return both.agg(F.coalesce(F.sum(F.abs(F.col("score") - F.col("old"))), F.lit(0.0))).first()[0]
+def residual(before: DataFrame, after: DataFrame, others: int = 0) -> float:
+    """Sum of the absolute changes of all scores (``src, score``), and of ``others`` that have the score ``rest``."""
+    both = after.join(before.withColumnsRenamed({"score": "old", "rest": "old_rest"}), "src")
+    changed = both.agg(F.coalesce(F.sum(F.abs(F.col("score") - F.col("old"))), F.lit(0.0))).first()[0]
+    if not others:
+        return changed
+    return changed + others * both.select(F.abs(F.col("rest") - F.col("old_rest"))).first()[0]
