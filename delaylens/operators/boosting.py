@@ -1,6 +1,7 @@
 """Gradient boosted trees on second-order histograms, as an MLlib estimator.
 
-Features are cut into at most 255 bins at their quantiles. For every level of a tree each
+Features are cut into at most 255 bins at their quantiles, and rows are kept in blocks, a few
+arrays each, so that no row is handled on its own. For every level of a tree each
 task adds up the gradients of its rows by (node, feature, bin); Spark sums the tasks' parts
 and finds each feature's best cut, and only one candidate per node and feature reaches the
 driver. Every cut learns where missing values go. Trees grow to their depth and are then
@@ -31,7 +32,8 @@ MISSING_BIN = 255
 SLOTS = 256
 LEAST_GAIN = 1e-6
 CHECKPOINT_TREES = 10
-ROWS = "bins binary, label double, margin double"
+#: A block of rows: bins by feature, labels and margins, each as the bytes of an array.
+ROWS = "bins binary, label binary, margin binary"
 
 
 @dataclass
@@ -108,57 +110,100 @@ def best_cut(g: np.ndarray, h: np.ndarray, alpha: float, lam: float, least_weigh
     return (*best, float(total_g), float(total_h))
 
 
-def matrix(column: pa.Array) -> np.ndarray:
-    """The bytes of a binary column whose values are equally long, one row each, without a copy."""
-    rows, (_, offsets, data) = len(column), column.buffers()
-    if not rows:
-        return np.zeros((0, 1), np.uint8)
-    ends = np.frombuffer(offsets, "<i4")[[column.offset, column.offset + rows]]
-    return np.frombuffer(data, np.uint8)[ends[0] : ends[1]].reshape(rows, -1)
+def blocks_of(batches: Iterator[pa.RecordBatch], features: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(bins, label, margin) of each block of rows; ``bins`` holds a row for each feature."""
+    for batch in batches:
+        columns = [batch.column(c) for c in ("bins", "label", "margin")]
+        for cells in zip(*columns):
+            bins, label, margin = (np.frombuffer(c.as_buffer(), kind) for c, kind in zip(cells, ("u1", "f8", "f8")))
+            yield bins.reshape(features, len(label)), label, margin
+
+
+def block(bins: np.ndarray, label: np.ndarray, margin: np.ndarray) -> pa.RecordBatch:
+    data = [pa.array([part.tobytes()], pa.binary()) for part in (bins, label, margin)]
+    return pa.RecordBatch.from_arrays(data, ["bins", "label", "margin"])
+
+
+class BinWalk:
+    """A tree's steps on bins as a table by node and bin; a leaf leads to itself. Bin ``gone`` is missing."""
+
+    def __init__(self, tree: Tree, gone: int) -> None:
+        self.width, nodes = gone + 1, len(tree.feature)
+        self.feature = np.maximum(tree.feature, 0)
+        self.steps = np.repeat(np.arange(nodes), self.width).reshape(nodes, self.width)
+        deep = [0] * nodes
+        for i in range(nodes):
+            if tree.feature[i] >= 0:
+                left, right = tree.left[i], tree.right[i]
+                self.steps[i] = np.where(np.arange(self.width) <= tree.bin[i], left, right)
+                self.steps[i, gone] = left if tree.default_left[i] else right
+                deep[left] = deep[right] = deep[i] + 1
+        self.depth, self.steps = max(deep), self.steps.ravel()
+
+    def leaves(self, bins: np.ndarray) -> np.ndarray:
+        rows = bins.shape[1]
+        node, row, flat, starts = np.zeros(rows, np.int64), np.arange(rows), bins.ravel(), self.feature * rows
+        for _ in range(self.depth):
+            node = self.steps.take(node * self.width + flat.take(starts.take(node) + row))
+        return node
 
 
-def gradients(objective: str, label: np.ndarray, margin: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def gradients(objective: str, label: np.ndarray, margin: np.ndarray) -> tuple[np.ndarray, np.ndarray | None]:
+    """First and second derivatives; None stands for second ones that are all 1."""
     if objective == "logistic":
         p = 1 / (1 + np.exp(-margin))
         return p - label, p * (1 - p)
-    return margin - label, np.ones(len(label))
+    return margin - label, None
 
 
-def _bin_rows(edges: list[list[float]], missing: float, base: float):
+def _bin_rows(edges: list[list[float]], missing: float, base: float, gone: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            x = batch.column("x").flatten().to_numpy().reshape(batch.num_rows, len(edges))
-            bins = np.empty(x.shape, np.uint8)
+            rows = batch.num_rows
+            if not rows:
+                continue
+            x = batch.column("x").flatten().to_numpy().reshape(rows, len(edges))
+            bins = np.empty((len(edges), rows), np.uint8)
             for f, cuts in enumerate(edges):
-                bins[:, f] = np.searchsorted(cuts, x[:, f])
-            bins[is_missing(x, missing)] = MISSING_BIN
-            data = pa.array([row.tobytes() for row in bins], pa.binary())
-            margin = pa.array(np.full(batch.num_rows, base))
-            yield pa.RecordBatch.from_arrays([data, batch.column("label"), margin], ["bins", "label", "margin"])
+                bins[f] = np.minimum(np.searchsorted(cuts, x[:, f]), gone)
+            bins[is_missing(x, missing).T] = gone
+            yield block(bins, batch.column("label").to_numpy(), np.full(rows, base))
 
     return run
 
 
+def gone_bin(edges: list[list[float]]) -> int:
+    """The bin of missing values: the one behind the last of any feature."""
+    return max(map(len, edges), default=0)
+
+
 def is_missing(x: np.ndarray, missing: float) -> np.ndarray:
     return np.isnan(x) | (x == missing)
 
 
-def _histograms(tree: Tree, level: list[int], features: int, objective: str):
+def _histograms(tree: Tree, level: list[int], features: int, objective: str, gone: int):
     """A task's sums of gradients by (node, feature), for the nodes of ``level``."""
     place = np.full(len(tree.feature), -1)
     place[level] = np.arange(len(level))
+    walk, width = BinWalk(tree, gone), gone + 1
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums = np.zeros((2, features, len(level) * SLOTS))
-        for batch in batches:
-            bins = matrix(batch.column("bins"))
-            node = place[tree.walk(bins, bins == MISSING_BIN, "bin")]
-            inside = node >= 0
-            parts = gradients(objective, batch.column("label").to_numpy(), batch.column("margin").to_numpy())
+        found = np.zeros((2, features, len(level) * width))
+        for bins, label, margin in blocks_of(batches, features):
+            node = place.take(walk.leaves(bins))
+            g, h = gradients(objective, label, margin)
+            inside = np.flatnonzero(node >= 0)
+            if len(inside) < len(node):
+                node, bins, g = node.take(inside), bins.take(inside, axis=1), g.take(inside)
+                h = h if h is None else h.take(inside)
+            start = node * width
             for f in range(features):
-                slot = node[inside] * SLOTS + bins[inside, f]
-                for total, part in zip(sums, parts):
-                    total[f] += np.bincount(slot, part[inside], len(level) * SLOTS)
+                slot = start + bins[f]
+                found[0, f] += np.bincount(slot, g, len(level) * width)
+                found[1, f] += np.bincount(slot, h, len(level) * width)
+        # missing values are in the last place of a node, and in their own among the slots
+        found, sums = found.reshape(2, features, len(level), width), np.zeros((2, features, len(level), SLOTS))
+        sums[..., :gone], sums[..., MISSING_BIN] = found[..., :gone], found[..., gone]
         part, cells = TaskContext.get().partitionId(), sums.reshape(2, features, len(level), SLOTS)
         for f in range(features):
             columns = {
@@ -192,15 +237,13 @@ def _best(alpha: float, lam: float, least_weight: float):
     return run
 
 
-def _moved(tree: Tree):
+def _moved(tree: Tree, features: int, gone: int):
+    walk = BinWalk(tree, gone)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         value = np.array(tree.value)
-        for batch in batches:
-            bins = matrix(batch.column("bins"))
-            margin = batch.column("margin").to_numpy() + value[tree.walk(bins, bins == MISSING_BIN, "bin")]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("bins"), batch.column("label"), pa.array(margin)], ["bins", "label", "margin"]
-            )
+        for bins, label, margin in blocks_of(batches, features):
+            yield block(bins, label, margin + value.take(walk.leaves(bins)))
 
     return run
 
@@ -270,11 +313,11 @@ class HistogramBoosting(Estimator, _BoostingParams, DefaultParamsReadable, Defau
             return held
 
         try:
-            held = kept(rows.mapInArrow(_bin_rows(edges, missing, base), ROWS))
+            held = kept(rows.mapInArrow(_bin_rows(edges, missing, base, gone_bin(edges)), ROWS))
             for n in range(self.getMaxIter()):
                 trees.append(self._grow(held, edges))
                 if n + 1 < self.getMaxIter():
-                    moved = held.mapInArrow(_moved(trees[-1]), ROWS)
+                    moved = held.mapInArrow(_moved(trees[-1], len(edges), gone_bin(edges)), ROWS)
                     held = kept(checkpointed(moved) if (n + 1) % CHECKPOINT_TREES == 0 else moved)
         finally:
             for old in persisted:
@@ -290,7 +333,7 @@ class HistogramBoosting(Estimator, _BoostingParams, DefaultParamsReadable, Defau
             if not level or not edges:
                 break
             sums = held.mapInArrow(
-                _histograms(tree, level, len(edges), self.getOrDefault(self.objective)),
+                _histograms(tree, level, len(edges), self.getOrDefault(self.objective), gone_bin(edges)),
                 "node int, feature int, part int, g binary, h binary",
             )
             found = sums.groupBy("node", "feature").applyInArrow(search, CUT).collect()

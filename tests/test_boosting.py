@@ -153,3 +153,18 @@ def test_odd_tables(spark):
     mixed = spark.createDataFrame([(Vectors.dense([1.0]), 1.0), (Vectors.dense([1.0, 2.0]), 0.0)], ["features", "label"])
     with pytest.raises(ValueError, match="1 to 2 long"):
         HistogramBoosting().fit(mixed)
+
+
+def test_rows_are_kept_in_blocks_and_walk_like_single_ones():
+    draw = np.random.default_rng(5)
+    x = draw.integers(0, 4, (50, 2)).astype(float)
+    edges = [[1.0, 2.0, math.inf], [2.0, math.inf]]
+    gone = boosting.gone_bin(edges)
+    batch = boosting.pa.record_batch({"x": boosting.pa.array(x.tolist()), "label": boosting.pa.array(x[:, 0])})
+    held = list(boosting._bin_rows(edges, 0.0, 0.5, gone)([batch]))
+    assert [b.num_rows for b in held] == [1]
+    bins, label, margin = next(boosting.blocks_of(held, 2))
+    assert bins.shape == (2, 50) and label.tolist() == x[:, 0].tolist() and set(margin) == {0.5}
+    tree = boosting.Tree([0, -1, 1, -1, -1], [1, 0, 0, 0, 0], [2.0, 0, 2.0, 0, 0], [False, False, True, False, False],
+                         [1, 1, 3, 3, 4], [2, 1, 4, 3, 4], [1.0] * 5, [0.0] * 5)
+    assert boosting.BinWalk(tree, gone).leaves(bins).tolist() == tree.walk(x, x == 0, "cut").tolist()
