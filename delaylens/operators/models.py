@@ -10,6 +10,7 @@ from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import DataFrame
 
 from delaylens.operators.boosting import HistogramBoosting
+from delaylens.operators.features import fit_pca
 
 PipelineStage = Estimator | Transformer
 
@@ -20,13 +21,33 @@ def fit_cached(stages: list[PipelineStage], estimator: Estimator, train: DataFra
     Tree and iterative estimators read their input many times; this way the
     feature stages run once.
     """
-    prepared = Pipeline(stages=stages).fit(train)
-    columns = [estimator.getFeaturesCol(), estimator.getLabelCol()]
-    vectors = prepared.transform(train).select(*columns).persist(StorageLevel.MEMORY_AND_DISK)
+    columns, label = [estimator.getFeaturesCol(), estimator.getLabelCol()], estimator.getLabelCol()
+    # a PCA at the end reads its input several times too: what comes before it also runs once
+    last = stages[-1:] if stages and isinstance(stages[-1], PCA) else []
+    prepared = fit_stages(stages[: len(stages) - len(last)], train)
+    inputs = [last[0].getInputCol(), label] if last else columns
+    held = [prepared.transform(train).select(*inputs).persist(StorageLevel.MEMORY_AND_DISK)]
     try:
-        return PipelineModel(stages=[*prepared.stages, estimator.fit(vectors)])
+        reduced = Pipeline(stages=last).fit(held[0])
+        if last:
+            held.append(reduced.transform(held[0]).select(*columns).persist(StorageLevel.MEMORY_AND_DISK))
+        return PipelineModel(stages=[*prepared.stages, *reduced.stages, estimator.fit(held[-1])])
     finally:
-        vectors.unpersist()
+        for d in held:
+            d.unpersist()
+
+
+def fit_stages(stages: list[PipelineStage], train: DataFrame) -> PipelineModel:
+    """What ``Pipeline.fit`` gives; the vectors of a PCA are persisted while it is fitted."""
+    fitted: list[Transformer] = []
+    for stage in stages:
+        if isinstance(stage, PCA):
+            stage = fit_pca(stage, train)
+        elif isinstance(stage, Estimator):
+            stage = stage.fit(train)
+        train = stage.transform(train)
+        fitted.append(stage)
+    return PipelineModel(stages=fitted)
 
 
 def matrix_stages(categoricals: list[str], numerics: list[str], out: str = "features") -> list[PipelineStage]:
